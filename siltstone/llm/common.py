@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,22 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a context, so that they need no installation of their own."""
+    sc = spark.sparkContext
+    if getattr(sc, "_siltstone_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    path = f"{tempfile.mkdtemp(prefix='siltstone-package-')}/siltstone.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    sc.addPyFile(path)
+    sc._siltstone_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -21,6 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Where the cluster names none (tests on one machine), a temporary folder is set once.
     """
+    ship_package(spark)
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():

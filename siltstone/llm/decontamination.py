@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, text_or_empty
+from .common import free_name, ship_package, text_or_empty
 
 _SPLIT = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 128), *range(0, 9), *range(14, 32)])
 _SPACED = bytes.maketrans(_SPLIT, b" " * len(_SPLIT))
@@ -228,6 +228,7 @@ def build_index(benchmark: DataFrame, similarity: float = 0.8, recall: float = 0
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
     """doc_id, item_id, span_start, span_end (code points of the source text), distance, item_words: a row for each
     document row and item that match, with the closest passage."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(build_index(benchmark, similarity, recall))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,6 +249,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, r
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
     """docs without the rows that match any item. Row-local: no shuffle."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(build_index(benchmark, similarity, recall))
     text = free_name(docs.columns, "searched_text")
     ready = docs.withColumn(text, text_or_empty())

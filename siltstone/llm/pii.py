@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import ship_package, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -190,6 +190,7 @@ def scan_pii(docs: DataFrame) -> DataFrame:
             as_rows = lambda k: pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in x[k]] for x in both], kind)
             yield pa.RecordBatch.from_arrays([b.column(0), as_rows(0), as_rows(1)], ["doc_id", "base", "spans"])
 
+    ship_package(docs.sparkSession)
     ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return ready.mapInArrow(run, f"doc_id long, base {struct}, spans {struct}")
 

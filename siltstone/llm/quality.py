@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, text_or_empty
+from .common import free_name, ship_package, text_or_empty
 
 DIMS, BINS = 1024, 8
 _CLASS = np.full(256, 1, np.uint32)  # lower-case and bytes of other alphabets
@@ -121,6 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labell
             x = _featured(b, 1)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.astype(np.float16).tobytes() for r in x], pa.binary()), b.column(2)], ["doc_id", "x", "y"])
 
+    ship_package(docs.sparkSession)
     rows = labelled_rows(docs, labels, [label], max_labelled).select(F.col("doc_id").cast("long"), "text", F.col(label).cast("int").alias("y"))
     got = sorted((r.doc_id, bytes(r.x), r.y) for r in rows.mapInArrow(run, "doc_id long, x binary, y int").collect())  # at most max_labelled
     x = np.stack([np.frombuffer(r[1], np.float16) for r in got]).astype(np.float32) if got else np.zeros((0, DIMS + 2 * BINS), np.float32)
@@ -130,6 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labell
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """docs with the column ``name``. The model's size is bounded by max_labelled and rank."""
     text = free_name(docs.columns, "scored_text")
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     ready = docs.withColumn(text, text_or_empty())
     schema = ready.drop(text).schema.add(name, "double")

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, licences, mixing, pii, quality, sharding, simhash, toxicity
+from . import decontamination, exact_dedup, licences, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 from .common import table
 
 SHARDS = 64
 
 
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,7 +56,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_decontamination, op3_toxicity, op4_sharding, op5_quality, op6_licences, op7_simhash, op8_exact_dedup, op9_mixing, op10_pii)}
+    return {f.__name__: f for f in (op1_repeated_passages, op2_decontamination, op3_toxicity, op4_sharding, op5_quality, op6_licences, op7_simhash, op8_exact_dedup, op9_mixing, op10_pii)}
 
 
 OP8_SQL = r"""

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import free_name, materialised, text_or_empty
+from .common import free_name, materialised, ship_package, text_or_empty
 from .components import connected_components
 
 UNKNOWN = 1 << 62
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             fps = np.fromiter((fingerprint(t.as_py(), words) for t in texts), np.uint64, batch.num_rows).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
 
+    ship_package(docs.sparkSession)
     known = docs.select(id_of(), text_or_empty().alias("text"))
     return known.mapInArrow(run, "id long, fp long")
 
@@ -198,6 +199,7 @@ def _join_task(budget: int):
 def fingerprint_links(classes: DataFrame, budget: int = 2, capacity: int = 8_192, max_depth: int = 14) -> DataFrame:
     """From distinct fingerprints (column fp): u, v, edges whose components are those of all links."""
     spark = classes.sparkSession
+    ship_package(spark)
     cell = F.shiftrightunsigned("fp", 64 - max_depth)
     counts = {r.cell: r["count"] for r in classes.groupBy(cell.alias("cell")).count().collect()}
     leaves = grow_leaves(counts, max_depth, capacity)

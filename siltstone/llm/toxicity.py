@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import ship_package, text_or_empty
 from .quality import held_out, labelled_rows
 
 _MARKS = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 128))
@@ -140,6 +140,7 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: list[str], max_l
 
 def toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, p_<category> each, and <category> 0/1 each (threshold): a row for each row of docs."""
+    ship_package(docs.sparkSession)
     chain = docs.sparkSession.sparkContext.broadcast(train_chain(docs, labels, categories))
     names = ["doc_id", *[f"p_{c}" for c in categories]]
 
