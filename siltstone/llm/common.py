@@ -54,6 +54,20 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialised_by(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """As materialised(), dealt by the key; later groupings by the key find the partitions in place and do not shuffle again.
+
+    The written plan keeps its partitioning only if adaptive execution, which might merge partitions, is off while it runs.
+    """
+    spark, switch = df.sparkSession, "spark.sql.adaptive.enabled"
+    before = spark.conf.get(switch)
+    spark.conf.set(switch, "false")
+    try:
+        return materialised(df.repartition(partitions, key))
+    finally:
+        spark.conf.set(switch, before)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, ship_package, text_or_empty
+from .common import materialised_by, ship_package, text_or_empty
 from .runindex import RunIndex
 
 ANCHOR = 16
@@ -334,8 +334,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False) -
     total = ready.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK))
     zipped = ready.withColumn("h", F.xxhash64("doc_id", "text")).mapInArrow(_compress, "doc_id long, h long, z binary")
-    dealt = zipped.select("doc_id", "z", F.pmod("h", F.lit(blocks)).cast("int").alias("block")).repartition(blocks, "block")
-    blocked = materialised(dealt.withColumn("rid", F.monotonically_increasing_id()))
+    dealt = zipped.select("doc_id", "z", F.pmod("h", F.lit(blocks)).cast("int").alias("block"), F.monotonically_increasing_id().alias("rid"))
+    blocked = materialised_by(dealt, "block", blocks)
     sent = blocked.groupBy("block").applyInArrow(_send_keys(length, blocks), "owner int, block int, packed binary")
     verdicts = sent.groupBy("owner").applyInArrow(_judge_keys, "block int, owner int, verdicts binary")
     pieces = blocked.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(_send_pieces(length, blocks), "owner int, block int, settled int, packed binary")
