@@ -5,7 +5,8 @@
    over half of the hashes. No words: fingerprint zero, which is linked like any other.
 2. Equal fingerprints form a class before anything is compared, so groups of copies are one row.
 3. The top of the binary trie over the classes is grown on a histogram of their first bits (at most 2**max_depth cells): nodes
-   with more than ``capacity`` classes split. Node pairs are walked together from the root, differing bits add up,
+   with more than ``capacity`` classes split (the larger the leaves, the fewer tasks a class is sent to; a full leaf takes some
+   50 MB). Node pairs are walked together from the root, differing bits add up,
    and a pair is pruned as soon as they exceed the budget. The pairs of leaves that are left are the tasks; each
    class goes to the tasks of its leaf.
 4. A task walks on below its two leaves in the same way, level by level in NumPy, in chunks of bounded size, and
@@ -120,8 +121,15 @@ def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, chunk: int = 1 << 18)
     nodes are compared directly.
     """
     same = b is a
-    ones = [[np.concatenate(([0], np.cumsum((x >> np.uint64(63 - d)) & np.uint64(1), dtype=np.int64))) for d in range(64)] for x in ((a,) if same else (a, b))]
-    ones_a, ones_b = ones[0], ones[-1]
+    levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def ones(depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Set bits at this depth before each place of a and of b; only for the levels that are reached."""
+        if depth not in levels:
+            count = lambda x: np.concatenate((np.zeros(1, np.int32), np.cumsum((x >> np.uint64(63 - depth)) & np.uint64(1), dtype=np.int32)))
+            levels[depth] = (c := count(a), c if same else count(b))
+        return levels[depth]
+
     if not len(a) or not len(b):
         return
     stack = [(0, np.array([[0, len(a), 0, len(b), 0]], np.int64))]
@@ -148,8 +156,9 @@ def walk_pairs(a: np.ndarray, b: np.ndarray, budget: int, chunk: int = 1 << 18)
         if not len(nodes):
             continue
         alo, ahi, blo, bhi, wrong = nodes.T
-        amid = ahi - (ones_a[depth][ahi] - ones_a[depth][alo])
-        bmid = bhi - (ones_b[depth][bhi] - ones_b[depth][blo])
+        ones_a, ones_b = ones(depth)
+        amid = ahi - (ones_a[ahi] - ones_a[alo])
+        bmid = bhi - (ones_b[bhi] - ones_b[blo])
         kids = [
             np.stack((alo, amid, blo, bmid, wrong), 1),
             np.stack((amid, ahi, bmid, bhi, wrong), 1),
@@ -196,7 +205,7 @@ def _join_task(budget: int):
     return run
 
 
-def fingerprint_links(classes: DataFrame, budget: int = 2, capacity: int = 8_192, max_depth: int = 14) -> DataFrame:
+def fingerprint_links(classes: DataFrame, budget: int = 2, capacity: int = 131_072, max_depth: int = 14) -> DataFrame:
     """From distinct fingerprints (column fp): u, v, edges whose components are those of all links."""
     spark = classes.sparkSession
     ship_package(spark)
