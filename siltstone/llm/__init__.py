@@ -1,4 +1,4 @@
 """Operators for large-scale training-data pipelines.
 
-Nothing else in the library imports this subpackage; it imports nothing from the rest of the library.
+Nothing else in the library imports this subpackage; of the rest it uses only siltstone.session.
 """
