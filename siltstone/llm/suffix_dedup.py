@@ -36,6 +36,9 @@ from .runindex import RunIndex
 
 ANCHOR = 16
 BLOCK = 4_000_000
+#: Bytes whose windows are keyed at once, and bytes of text for each key range; both bound a task's memory.
+CHUNK = 1_000_000
+RANGE = 1_000_000
 #: Windows in a piece at most, so that suffixes are short to sort: with 50-byte windows 112 bytes, 7 * 2**4.
 PIECE = 63
 #: Pieces of a key from which on it counts as very frequent.
@@ -102,12 +105,13 @@ class Block:
         """keys, first windows, numbers of windows and documents of all pieces."""
         n, out = len(self.data), []
         buffer = np.frombuffer(self.data, np.uint8)
-        for low in range(0, max(0, n - self.length + 1), BLOCK):
-            part = buffer[low : low + BLOCK + self.length - 1]
+        for low in range(0, max(0, n - self.length + 1), CHUNK):
+            part = buffer[low : low + CHUNK + self.length - 1]
             least = _sliding_minimum(_hashes(part), self.length - ANCHOR + 1)
             whole = np.zeros(len(least), bool)  # windows within one document
-            first = np.clip(self.start - low, 0, len(least))
-            last = np.clip(self.start + self.size - self.length + 1 - low, 0, len(least))
+            near = slice(max(0, int(np.searchsorted(self.start, low)) - 1), int(np.searchsorted(self.start, low + len(least))))
+            first = np.clip(self.start[near] - low, 0, len(least))
+            last = np.clip(self.start[near] + self.size[near] - self.length + 1 - low, 0, len(least))
             for a, b in zip(first.tolist(), last.tolist(), strict=True):
                 whole[a:b] = True
             begins = whole.copy()
@@ -332,13 +336,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False) -
     ship_package(docs.sparkSession)
     ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     total = ready.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK))
+    blocks, owners = max(1, -(-total // BLOCK)), max(1, -(-total // RANGE))
     zipped = ready.withColumn("h", F.xxhash64("doc_id", "text")).mapInArrow(_compress, "doc_id long, h long, z binary")
     dealt = zipped.select("doc_id", "z", F.pmod("h", F.lit(blocks)).cast("int").alias("block"), F.monotonically_increasing_id().alias("rid"))
     blocked = materialised_by(dealt, "block", blocks)
-    sent = blocked.groupBy("block").applyInArrow(_send_keys(length, blocks), "owner int, block int, packed binary")
+    sent = blocked.groupBy("block").applyInArrow(_send_keys(length, owners), "owner int, block int, packed binary")
     verdicts = sent.groupBy("owner").applyInArrow(_judge_keys, "block int, owner int, verdicts binary")
-    pieces = blocked.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(_send_pieces(length, blocks), "owner int, block int, settled int, packed binary")
+    pieces = blocked.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(_send_pieces(length, owners), "owner int, block int, settled int, packed binary")
     marks = pieces.groupBy("owner").applyInArrow(_mark(length), "block int, marks binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return blocked.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_cut_texts(length, with_text), schema)
