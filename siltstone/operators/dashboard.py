@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,16 +66,19 @@ def buckets(pages: DataFrame) -> DataFrame:
     )
 
 
-def document(pages: DataFrame) -> DataFrame:
-    """The whole dashboard as one JSON string; a bucket or category a row goes in, so its size does not follow the pages'."""
-    ordered = lambda df, fields, key: df.agg(F.sort_array(F.collect_list(F.struct((-F.col(key)).alias("minus"), *fields))).alias("x"))
-    pairs = lambda df, name: ordered(df, [F.col(name).alias("name"), F.col("sites").alias("sites")], "sites").select(F.transform("x", lambda r: F.array(r["name"], r["sites"].cast("string"))).alias("x"))
-    all_buckets = ordered(buckets(pages), ["name", "domains", "cats", "top"], "domains").select(F.transform("x", lambda r: r.dropFields("minus")).alias("buckets"))
-    one = totals(pages).select("pages", "domains", "classified_pct")
-    one = one.join(pairs(categories(pages), "engine_category").withColumnRenamed("x", "cats")).join(pairs(platforms(pages), "engine_name").withColumnRenamed("x", "platforms"))
-    return one.join(all_buckets).select(F.to_json(F.struct("pages", "domains", "classified_pct", "cats", "platforms", "buckets")).alias("document"))
+def document(pages: DataFrame) -> dict[str, Any]:
+    """The whole dashboard, put together on the driver: a row for each bucket and category, however many pages there are."""
+    total = totals(pages).first()
+    by_size = buckets(pages).orderBy(F.desc("domains"), "name").collect()
+    return {
+        "pages": total["pages"],
+        "domains": total["domains"],
+        "classified_pct": total["classified_pct"],
+        "cats": [list(r) for r in categories(pages).collect()],
+        "platforms": [list(r) for r in platforms(pages).collect()],
+        "buckets": [{"name": r["name"], "domains": r["domains"], "cats": r["cats"], "top": [list(t) for t in r["top"]]} for r in by_size],
+    }
 
 
 def export(pages: DataFrame, path: str) -> None:
-    """Writes the one-row document from the driver."""
-    Path(path).write_text(document(pages).first()[0], encoding="utf-8")
+    Path(path).write_text(json.dumps(document(pages), ensure_ascii=False), encoding="utf-8")

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ..session import ship_package
 
@@ -87,10 +88,7 @@ def html_of(raw: bytes) -> str | None:
 def fetch_pages(found: DataFrame, root: str) -> DataFrame:
     """Candidates with html, ok and error."""
     ship_package(found.sparkSession)
-    schema = found.schema
-    for field in ("html string", "ok boolean", "error string"):
-        name, kind = field.split()
-        schema = schema.add(name, kind)
+    schema = T.StructType([*found.schema.fields, *T.StructType.fromDDL(RESULT).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(root)
