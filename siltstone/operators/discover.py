@@ -6,7 +6,7 @@ content_mime_detected, warc_filename, warc_record_offset, warc_record_length.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,18 +51,16 @@ def within_budgets(rows: DataFrame, budgets: Mapping[str, int], max_per_domain:
     """The first rows of each registered domain up to its cap, then of each bucket up to its budget, in scan order.
 
     A domain lies in one bucket, so its cap nests inside the budget. A window over a whole bucket would sort a hot one in
-    a single task: instead parts are counted, and only the part in which a budget runs out is cut by row.
+    a single task: instead each part's rows are counted, which gives the room that is left for it, and rows are placed within their part.
     """
     if max_per_domain is not None:
         place = F.row_number().over(Window.partitionBy("bucket", "url_host_registered_domain").orderBy("part", "row_in_part"))
         rows = rows.withColumn("_place", place).where(F.col("_place") <= max_per_domain).drop("_place")
     counted = rows.groupBy("bucket", "part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    room = counted.withColumn("_room", _budget_of(budgets) - before).where("_room > 0")
-    placed = rows.join(room, ["bucket", "part"])
-    whole = placed.where("_n <= _room")
-    cut = placed.where("_n > _room").withColumn("_place", F.row_number().over(Window.partitionBy("bucket", "part").orderBy("row_in_part"))).where("_place <= _room").drop("_place")
-    return whole.unionByName(cut).drop("_n", "_room")
+    room = counted.select("bucket", "part", (_budget_of(budgets) - before).alias("_room")).where("_room > 0")
+    placed = rows.join(room, ["bucket", "part"]).withColumn("_place", F.row_number().over(Window.partitionBy("bucket", "part").orderBy("row_in_part")))
+    return placed.where("_place <= _room").drop("_place", "_room")
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -71,7 +69,7 @@ def candidates(rows: DataFrame) -> DataFrame:
     )
 
 
-def discover(index: DataFrame, budgets: Mapping[str, int], excluded: DataFrame, max_per_domain: int | None = None, buckets: DataFrame | None = None) -> DataFrame:
+def discover(index: DataFrame, budgets: Mapping[str, int], excluded: Sequence[str], max_per_domain: int | None = None, buckets: DataFrame | None = None) -> DataFrame:
     """Candidates under budgets, over the whole index at once. Buckets without a budget are not scanned."""
     rows = with_bucket(fetched_pages(index), buckets).where(F.col("bucket").isin(sorted(budgets)))
     return candidates(within_budgets(without_excluded(rows, "url_host_registered_domain", excluded), budgets, max_per_domain))

@@ -5,7 +5,7 @@ HTML is parsed in Python, in Arrow batches: a parser and RFC 3986 resolution hav
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -82,17 +82,19 @@ def extract_links(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html").mapInArrow(run, "source_url string, position int, target_url string, anchor_text string")
 
 
-def without_excluded(rows: DataFrame, host: str, excluded: DataFrame) -> DataFrame:
-    """rows whose host column is neither an excluded domain nor below one: a broadcast anti-join on host suffixes.
+def without_excluded(rows: DataFrame, host: str, excluded: Sequence[str], most: int = 10_000) -> DataFrame:
+    """rows whose host column is neither an excluded domain nor below one.
 
-    The list of excluded domains is small by nature; Spark broadcasts it if its size is under the session's threshold.
+    The suffix test becomes an overlap of the host's suffixes with a constant array: no join, and it is pushed down with the
+    other filters. The list is one of platforms, not data; its length is checked.
     """
-    bad = F.collect_set("domain")
-    listed = excluded.agg(bad.alias("_excluded"))
-    return rows.join(F.broadcast(listed)).where(~F.arrays_overlap(host_suffixes(F.col(host)), F.col("_excluded"))).drop("_excluded")
+    if len(excluded) > most:
+        raise ValueError(f"more than {most} excluded domains")
+    listed = F.array(*[F.lit(d) for d in excluded]).cast("array<string>")
+    return rows.where(~F.arrays_overlap(host_suffixes(F.col(host)), listed))
 
 
-def link_facts(pages: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
+def link_facts(pages: DataFrame, excluded: Sequence[str] = ()) -> DataFrame:
     """source_url, position, target_url, target_domain, anchor_text, without excluded targets."""
     links = extract_links(pages).withColumn("target_domain", netloc(F.col("target_url")))
-    return without_excluded(links, "target_domain", excluded) if excluded is not None else links
+    return without_excluded(links, "target_domain", excluded)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from ..operators.discover import discover, unseen
 from ..operators.links import link_facts, without_excluded
 from ..operators.store import CensusStore
 from ..sources.warc import fetch_pages
-from .dims import bucket_frame, country_frame, excluded_frame
+from .dims import bucket_frame, country_frame, excluded_domains
 
 
 def with_country(pages: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def with_bucket(pages: DataFrame) -> DataFrame:
     return pages.join(F.broadcast(buckets), F.col("tld") == F.col("_tld"), "left").drop("_tld")
 
 
-def page_facts(pages: DataFrame, links: str = "count", excluded: DataFrame | None = None) -> DataFrame:
+def page_facts(pages: DataFrame, links: str = "count", excluded: Sequence[str] = ()) -> DataFrame:
     """From (url, tld, html, ...): the page columns with engine, country, bucket and outlink_count, without html.
 
     links: 'none' (outlink_count 0: links are not looked at), or 'count' (links are extracted and counted).
@@ -52,7 +52,7 @@ def domain_pages(pages: DataFrame, crawl: str) -> DataFrame:
 def input_patterns(domains: DataFrame) -> DataFrame:
     """From (domain): what to ask the index for; blank and excluded domains are skipped."""
     rows = domains.select(F.trim("domain").alias("domain")).where("domain <> ''")
-    return without_excluded(rows, "domain", excluded_frame(domains.sparkSession)).withColumn("pattern", index_pattern(F.col("domain")))
+    return without_excluded(rows, "domain", excluded_domains()).withColumn("pattern", index_pattern(F.col("domain")))
 
 
 def preview(pages: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def preview(pages: DataFrame) -> DataFrame:
 
 def run_census(index: DataFrame, store: CensusStore, warc_root: str, budgets: Mapping[str, int], crawl: str, max_per_domain: int | None = None, store_links: bool = False) -> DataFrame:
     """Discover, fetch what is not stored yet, classify and store. Returns the fetch results (url, ok, error)."""
-    excluded = excluded_frame(index.sparkSession)
+    excluded = excluded_domains()
     todo = unseen(discover(index, budgets, excluded, max_per_domain), store.pages)
     results = fetch_pages(todo, warc_root).withColumnRenamed("url_host_tld", "tld").drop("bucket").persist()  # fetched once, used for pages and links
     good = results.where("ok")

@@ -27,6 +27,6 @@ def country_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(COUNTRIES.items()), "tld string, country_name string")
 
 
-def excluded_frame(spark: SparkSession, domains: Iterable[str] = EXCLUDED) -> DataFrame:
-    """Union of exclusion lists, lower case, without repeats."""
-    return spark.createDataFrame([(d,) for d in sorted({d.strip().lower() for d in domains if d.strip()})], "domain string")
+def excluded_domains(*lists: Iterable[str]) -> list[str]:
+    """Union of exclusion lists, the fixed ones by default; lower case, without repeats."""
+    return sorted({d.strip().lower() for domains in lists or (EXCLUDED,) for d in domains if d.strip()})

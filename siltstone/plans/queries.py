@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +11,11 @@ from ..functions.html import generator
 from ..functions.urls import host_suffixes, in_shard, netloc, url_hash
 from ..operators import dashboard, discover, links, reports, store
 from ..operators.classify import classified, known_categories, signals
+from ..session import shared_dir
 from ..streaming.incremental import discover_by_part
 from . import census, fixtures
 from .budgets import allocate_budget
-from .dims import bucket_frame, country_frame, excluded_frame, tld_buckets
+from .dims import bucket_frame, country_frame, excluded_domains, tld_buckets
 from .values import COUNTRIES
 
 #: Budgets by bucket for the index fixture: some run out, one does not. Keys are looked up by a domain of the bucket.
@@ -24,7 +24,7 @@ PER_TLD = 40
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return census.page_facts(fixtures.html_pages(spark, sf_dir), "count", excluded_frame(spark))
+    return census.page_facts(fixtures.html_pages(spark, sf_dir), "count", excluded_domains())
 
 
 def engines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def engines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return links.link_facts(fixtures.html_pages(spark, sf_dir), excluded_frame(spark))
+    return links.link_facts(fixtures.html_pages(spark, sf_dir), excluded_domains())
 
 
 def classify_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,7 @@ def links_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts of the index and whether a host is excluded"""
     hosts = fixtures.index_rows(spark, sf_dir).select(F.col("url_host_registered_domain").alias("host")).distinct()
     hosts = hosts.unionByName(hosts.select(F.concat(F.lit("m."), "host").alias("host"))).unionByName(hosts.select(F.concat(F.lit("not"), "host").alias("host")))
-    return links.without_excluded(hosts, "host", excluded_frame(spark))
+    return links.without_excluded(hosts, "host", excluded_domains())
 
 
 def host_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ def fair_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discover.discover(fixtures.index_rows(spark, sf_dir), BUDGETS, excluded_frame(spark), fixtures.DOMAIN_CAP)
+    return discover.discover(fixtures.index_rows(spark, sf_dir), BUDGETS, excluded_domains(), fixtures.DOMAIN_CAP)
 
 
 def discover_global(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,12 +151,12 @@ def discover_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def discover_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts of the index as files, worked off in order with carried budgets"""
-    place = f"{spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None) if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/by-part-{uuid.uuid4()}"
+    place = f"{shared_dir(spark)}/by-part-{uuid.uuid4()}"
     index = fixtures.index_rows(spark, sf_dir)
     for part in range(8):
         index.where(F.col("part") == part).coalesce(1).write.mode("append").parquet(f"{place}/index")
     schema = index.schema.simpleString()[7:-1].replace(":", " ")
-    return discover_by_part(spark, f"{place}/index", schema, f"{place}/out", BUDGETS, excluded_frame(spark), 100_000, fixtures.DOMAIN_CAP)
+    return discover_by_part(spark, f"{place}/index", schema, f"{place}/out", BUDGETS, excluded_domains(), 100_000, fixtures.DOMAIN_CAP)
 
 
 def budget_shortfall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +295,7 @@ hit AS (SELECT *, {first} AS i FROM gen),
 sig(i, signal, engine_category, engine_name) AS (VALUES {named}),
 bucket_of(tld, bucket) AS (VALUES {_values(sorted(tld_buckets().items()))}),
 country_of(tld, name) AS (VALUES {_values(sorted(COUNTRIES.items()))}),
-bad(domain) AS (VALUES {_values([(d,) for d in excluded_names()])}),
+bad(domain) AS (VALUES {_values([(d,) for d in excluded_domains()])}),
 pf AS (SELECT page_id, url, lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]*)', 1)) AS domain, hit.tld, coalesce(c.name, upper(hit.tld), '') AS country, bucket,
     signal, engine_category, engine_name, html, gen
   FROM hit LEFT JOIN sig USING (i) LEFT JOIN bucket_of b ON b.tld = hit.tld LEFT JOIN country_of c ON c.tld = lower(hit.tld)),
@@ -309,7 +309,7 @@ lf AS (SELECT * FROM td WHERE NOT EXISTS (SELECT 1 FROM bad WHERE target_domain
 fx AS ({fixtures.FX_INDEX}),
 bucket_of(tld, bucket) AS (VALUES {_values(sorted(tld_buckets().items()))}),
 budget_of(bucket, budget) AS (VALUES {_values(sorted(BUDGETS.items()))}),
-bad(domain) AS (VALUES {_values([(d,) for d in excluded_names()])}),
+bad(domain) AS (VALUES {_values([(d,) for d in excluded_domains()])}),
 ok AS (SELECT * FROM fx WHERE fetch_status = 200 AND content_mime_detected = 'text/html'),
 elig AS (SELECT ok.*, b.bucket, budget FROM ok JOIN bucket_of b ON b.tld = url_host_tld JOIN budget_of g ON g.bucket = b.bucket
   WHERE NOT EXISTS (SELECT 1 FROM bad WHERE url_host_registered_domain = bad.domain OR ends_with(url_host_registered_domain, '.' || bad.domain))),
@@ -412,10 +412,4 @@ LEFT JOIN (SELECT bucket, string_agg(engine_name || '=' || n, ';' ORDER BY place
     }
 
 
-def excluded_names() -> list[str]:
-    from .values import EXCLUDED
-
-    return sorted(EXCLUDED)
-
-
 SQL = _sql()

@@ -1,4 +1,4 @@
-"""Executors get this package from the driver, so that Python functions need no installation of their own."""
+"""What driver and executors share: this package's code, and a folder."""
 
 from __future__ import annotations
 
@@ -9,7 +9,19 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir of the session.
+
+    Where the cluster names none (tests on one machine), a temporary folder is set once.
+    """
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltstone-shared-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def ship_package(spark: SparkSession) -> None:
+    """Executors get this package from the driver, once a context, so that Python functions need no installation of their own."""
     sc = spark.sparkContext
     if getattr(sc, "_siltstone_shipped", False):
         return

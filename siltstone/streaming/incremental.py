@@ -10,7 +10,7 @@ discovery does, so rows that are capped out are lost to their top-level domain i
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def take_part(part: DataFrame, earlier: DataFrame | None, budgets: DataFrame, excluded: DataFrame, per_tld_cap: int, max_per_domain: int | None) -> DataFrame:
+def take_part(part: DataFrame, earlier: DataFrame | None, budgets: DataFrame, excluded: Sequence[str], per_tld_cap: int, max_per_domain: int | None) -> DataFrame:
     """Candidates of one part after those emitted earlier."""
     left = budgets
     if earlier is not None:
@@ -53,7 +53,7 @@ def take_part(part: DataFrame, earlier: DataFrame | None, budgets: DataFrame, ex
 
 
 def discover_by_part(
-    spark: SparkSession, index: str, schema: str, out: str, budgets: Mapping[str, int], excluded: DataFrame, per_tld_cap: int = 250_000, max_per_domain: int | None = None
+    spark: SparkSession, index: str, schema: str, out: str, budgets: Mapping[str, int], excluded: Sequence[str], per_tld_cap: int = 250_000, max_per_domain: int | None = None
 ) -> DataFrame:
     """Works off the parts under ``index`` (Parquet, oldest first) that are not done yet; returns all candidates so far."""
     if not _exists(spark, f"{out}/budgets"):

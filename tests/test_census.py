@@ -15,7 +15,7 @@ from siltstone.operators import dashboard, discover, reports, store
 from siltstone.operators.classify import classified, known_categories, signals
 from siltstone.operators.links import links_of, without_excluded
 from siltstone.plans import budgets, census
-from siltstone.plans.dims import excluded_frame, tld_buckets
+from siltstone.plans.dims import excluded_domains, tld_buckets
 from siltstone.plans.values import BUCKETS, COUNTRIES, ENGINES, EXCLUDED
 from siltstone.sources import candidates, index, warc
 from siltstone.streaming.incremental import discover_by_part, emitted
@@ -79,7 +79,7 @@ def test_netloc(spark):
 def test_excluded_suffixes(spark):
     hosts = ["x.com", "www.x.com", "notx.com", "x.com:80", "", None]
     rows = spark.createDataFrame([(h,) for h in hosts], "h string")
-    assert {r.h for r in without_excluded(rows, "h", excluded_frame(spark)).collect()} == {"notx.com", "x.com:80", "", None}
+    assert {r.h for r in without_excluded(rows, "h", excluded_domains()).collect()} == {"notx.com", "x.com:80", "", None}
 
 
 def test_links():
@@ -101,10 +101,10 @@ def index_frame(spark, rows):
 
 def test_both_modes_of_discovery_differ_where_the_cap_loses_rows(spark, tmp_path):
     rows = index_frame(spark, [(0, 0, "d1.co"), (0, 1, "d1.co"), (0, 2, "d2.co")])
-    everywhere = discover.discover(rows, {CO: 2}, excluded_frame(spark), 1)
+    everywhere = discover.discover(rows, {CO: 2}, excluded_domains(), 1)
     assert {r.url_host_registered_domain for r in everywhere.collect()} == {"d1.co", "d2.co"}
     rows.coalesce(1).write.parquet(f"{tmp_path}/index")
-    by_part = discover_by_part(spark, f"{tmp_path}/index", INDEX, f"{tmp_path}/out", {CO: 2}, excluded_frame(spark), max_per_domain=1)
+    by_part = discover_by_part(spark, f"{tmp_path}/index", INDEX, f"{tmp_path}/out", {CO: 2}, excluded_domains(), max_per_domain=1)
     assert [r.url_host_registered_domain for r in by_part.collect()] == ["d1.co"]
 
 
@@ -112,7 +112,7 @@ def test_discovery_by_part_resumes_with_the_first_budgets(spark, tmp_path):
     for part in range(2):
         index_frame(spark, [(part, i, f"d{i % 2}.co") for i in range(3)]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/index")
     out = f"{tmp_path}/out"
-    run = lambda budget: discover_by_part(spark, f"{tmp_path}/index", INDEX, out, {CO: budget}, excluded_frame(spark), max_per_domain=3).count()
+    run = lambda budget: discover_by_part(spark, f"{tmp_path}/index", INDEX, out, {CO: budget}, excluded_domains(), max_per_domain=3).count()
     assert run(5) == 5
     index_frame(spark, [(2, i, f"e{i}.co") for i in range(3)]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/index")
     assert run(100) == 5  # the budget of the first run is used up
@@ -122,7 +122,7 @@ def test_discovery_by_part_resumes_with_the_first_budgets(spark, tmp_path):
 def test_budget_edges(spark):
     rows = index_frame(spark, [(p, i, f"d{i}.co") for p in range(3) for i in range(4)])
     for budget in (0, 1, 4, 5, 11, 12, 50):
-        got = discover.discover(rows, {CO: budget}, excluded_frame(spark)).collect()
+        got = discover.discover(rows, {CO: budget}, excluded_domains()).collect()
         assert len(got) == min(budget, 12)
         assert {r.url for r in got} == {f"http://d{i}.co/{p}/{i}" for p, i in [(p, i) for p in range(3) for i in range(4)][:budget]}
 
