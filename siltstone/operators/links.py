@@ -5,12 +5,12 @@ HTML is parsed in Python, in Arrow batches: a parser and RFC 3986 resolution hav
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import host_suffixes, netloc
@@ -62,36 +62,51 @@ def links_of(html: str, page_url: str) -> list[tuple[str, str]]:
     return out
 
 
-def extract_links(pages: DataFrame) -> DataFrame:
-    """From (url, html): source_url, position, target_url, anchor_text. A page that cannot be parsed has no links."""
+LINKS = "array<struct<target_url: string, anchor_text: string>>"
+_LINKS = pa.list_(pa.struct([("target_url", pa.string()), ("anchor_text", pa.string())]))
+
+
+def with_links(pages: DataFrame) -> DataFrame:
+    """pages (url, html, ...) with links, in document order. Row-local; a page that cannot be parsed has none."""
     ship_package(pages.sparkSession)
-    names = ["source_url", "position", "target_url", "anchor_text"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows: list[tuple] = []
-            for url, html in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                try:
-                    found = links_of(html.as_py() or "", url or "")
-                except (AssertionError, ValueError):
-                    found = []
-                rows += [(url, i, *x) for i, x in enumerate(found)]
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string(), pa.string()), strict=True)], names)
+    @F.arrow_udf(LINKS)
+    def parse(url: pa.Array, html: pa.Array) -> pa.Array:
+        out = []
+        for u, h in zip(url, html, strict=True):
+            try:
+                found = links_of(h.as_py() or "", u.as_py() or "")
+            except (AssertionError, ValueError):
+                found = []
+            out.append([{"target_url": t, "anchor_text": a} for t, a in found])
+        return pa.array(out, _LINKS)
+
+    return pages.withColumn("links", parse("url", "html"))
+
 
-    return pages.select("url", "html").mapInArrow(run, "source_url string, position int, target_url string, anchor_text string")
+def extract_links(pages: DataFrame) -> DataFrame:
+    """source_url, position, target_url, anchor_text of pages with links (which are parsed if the column is not there)."""
+    linked = pages if "links" in pages.columns else with_links(pages)
+    return linked.select(F.col("url").alias("source_url"), F.posexplode("links").alias("position", "link")).select("source_url", "position", "link.*")
 
 
-def without_excluded(rows: DataFrame, host: str, excluded: Sequence[str], most: int = 10_000) -> DataFrame:
-    """rows whose host column is neither an excluded domain nor below one.
+def is_excluded(host: Column, excluded: Sequence[str], most: int = 10_000) -> Column:
+    """Whether a host is an excluded domain or below one.
 
     The suffix test becomes an overlap of the host's suffixes with a constant array: no join, and it is pushed down with the
     other filters. The list is one of platforms, not data; its length is checked.
     """
     if len(excluded) > most:
         raise ValueError(f"more than {most} excluded domains")
-    listed = F.array(*[F.lit(d) for d in excluded]).cast("array<string>")
-    return rows.where(~F.arrays_overlap(host_suffixes(F.col(host)), listed))
+    return F.arrays_overlap(host_suffixes(host), F.array(*[F.lit(d) for d in excluded]).cast("array<string>"))
+
+
+def outlink_count(links: Column, excluded: Sequence[str]) -> Column:
+    return F.size(F.filter(links, lambda x: ~is_excluded(netloc(x["target_url"]), excluded)))
+
+
+def without_excluded(rows: DataFrame, host: str, excluded: Sequence[str]) -> DataFrame:
+    return rows.where(~is_excluded(F.col(host), excluded))
 
 
 def link_facts(pages: DataFrame, excluded: Sequence[str] = ()) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from ..functions.html import generator, snippet, title
 from ..functions.urls import index_pattern, netloc
 from ..operators.classify import classified
 from ..operators.discover import discover, unseen
-from ..operators.links import link_facts, without_excluded
+from ..operators.links import link_facts, outlink_count, with_links, without_excluded
 from ..operators.store import CensusStore
 from ..sources.warc import fetch_pages
 from .dims import bucket_frame, country_frame, excluded_domains
@@ -32,14 +33,13 @@ def with_bucket(pages: DataFrame) -> DataFrame:
 def page_facts(pages: DataFrame, links: str = "count", excluded: Sequence[str] = ()) -> DataFrame:
     """From (url, tld, html, ...): the page columns with engine, country, bucket and outlink_count, without html.
 
-    links: 'none' (outlink_count 0: links are not looked at), or 'count' (links are extracted and counted).
+    links: 'none' (outlink_count 0: links are not looked at), or 'count' (links are parsed and counted). All of it is local to
+    the page's row: no shuffle.
     """
-    facts = with_bucket(with_country(classified(pages).withColumn("domain", netloc(F.col("url")))))
-    if links == "none":
-        return facts.withColumn("outlink_count", F.lit(0)).drop("html")
-    counted = link_facts(pages, excluded).groupBy("source_url").agg(F.count("*").cast("int").alias("outlink_count"))
-    joined = facts.drop("html").join(counted, facts["url"] == counted["source_url"], "left").drop("source_url")
-    return joined.withColumn("outlink_count", F.coalesce("outlink_count", F.lit(0)))
+    linked = pages if links == "none" or "links" in pages.columns else with_links(pages)
+    facts = with_bucket(with_country(classified(linked).withColumn("domain", netloc(F.col("url")))))
+    count = F.lit(0) if links == "none" else outlink_count(F.col("links"), excluded)
+    return facts.withColumn("outlink_count", count.cast("int")).drop("html", "links")
 
 
 def domain_pages(pages: DataFrame, crawl: str) -> DataFrame:
@@ -68,7 +68,8 @@ def run_census(index: DataFrame, store: CensusStore, warc_root: str, budgets: Ma
     """Discover, fetch what is not stored yet, classify and store. Returns the fetch results (url, ok, error)."""
     excluded = excluded_domains()
     todo = unseen(discover(index, budgets, excluded, max_per_domain), store.pages)
-    results = fetch_pages(todo, warc_root).withColumnRenamed("url_host_tld", "tld").drop("bucket").persist()  # fetched once, used for pages and links
+    results = fetch_pages(todo, warc_root).withColumnRenamed("url_host_tld", "tld").drop("bucket")
+    results = (with_links(results) if store_links else results).persist(StorageLevel.DISK_ONLY)  # fetched and parsed once for pages and links
     good = results.where("ok")
     facts = page_facts(good, "count" if store_links else "none", excluded).withColumns({"crawl": F.lit(crawl), "timestamp": F.lit("")})
     store.save_pages(facts)

@@ -234,3 +234,13 @@ def test_sources(spark, tmp_path):
 def test_domain_mode(spark):
     rows = census.input_patterns(spark.createDataFrame([("a.co",), ("*.b.co",), (" ",), ("www.x.com",)], "domain string"))
     assert {(r.domain, r.pattern) for r in rows.collect()} == {("a.co", "a.co/*"), ("*.b.co", "*.b.co")}
+
+
+def test_stream_of_pages_is_classified(spark, tmp_path):
+    from siltstone.streaming.incremental import classify_stream
+
+    spark.createDataFrame([("http://a.co/", "co", "Powered by phpBB"), ("http://b.co/", "co", "")], "url string, tld string, html string").write.parquet(f"{tmp_path}/in")
+    stream = classify_stream(spark.readStream.schema("url string, tld string, html string").parquet(f"{tmp_path}/in"))
+    query = stream.writeStream.format("memory").queryName("classified_pages").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {(r.url, r.engine_name) for r in spark.table("classified_pages").collect()} == {("http://a.co/", "phpBB"), ("http://b.co/", None)}
