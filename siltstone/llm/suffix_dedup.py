@@ -77,6 +77,13 @@ def _hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _spread(h: np.ndarray) -> np.ndarray:
+    """Minima crowd at small values; mixed once more they fill all key ranges alike."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(33))
+
+
 def _sliding_minimum(h: np.ndarray, width: int) -> np.ndarray:
     span = 1
     while span * 2 <= width:
@@ -119,7 +126,7 @@ class Block:
             stops = whole.copy()
             stops[:-1] &= ~whole[1:] | begins[1:]
             a, b = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-            out.append((least[a], a + low, b - a))
+            out.append((_spread(least[a]), a + low, b - a))
         if not out:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         keys, first, count = map(np.concatenate, zip(*out, strict=True))
