@@ -14,17 +14,27 @@ from __future__ import annotations
 import numpy as np
 
 
+def _ordered(key: np.ndarray, bits: int) -> np.ndarray:
+    """Stable order of keys of so many bits. With room left for the positions, plain sorting of both in one word is several
+    times faster than sorting positions by key."""
+    place = max(1, int(len(key) - 1).bit_length())
+    if bits + place > 64:
+        return np.argsort(key, kind="stable")
+    packed = np.sort(key << np.uint64(place) | np.arange(len(key), dtype=np.uint64))
+    return (packed & np.uint64((1 << place) - 1)).astype(np.int64)
+
+
 def _suffix_order(symbols: np.ndarray, end: np.ndarray, reach: int) -> np.ndarray:
     """Suffix array by prefix doubling. symbols: byte + 1; end: where each position's text ends; reach: longest text."""
     n = len(symbols)
-    padded = np.concatenate((symbols.astype(np.uint64), np.zeros(7, np.uint64)))
+    padded = np.concatenate((symbols.astype(np.uint64), np.zeros(4, np.uint64)))
     left = end - np.arange(n)
     key = np.zeros(n, np.uint64)
-    for i in range(7):  # 9 bits a symbol
+    for i in range(4):  # 9 bits a symbol
         key = key << np.uint64(9) | np.where(left > i, padded[i : n + i], np.uint64(0))
-    span = 7
+    span, bits, half = 4, 36, int(n).bit_length()
     while True:
-        order = np.argsort(key, kind="stable")
+        order = _ordered(key, bits)
         ordered = key[order]
         new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
         if span >= reach or new.all():
@@ -33,7 +43,7 @@ def _suffix_order(symbols: np.ndarray, end: np.ndarray, reach: int) -> np.ndarra
         rank[order] = np.cumsum(new).astype(np.uint64)
         later = np.zeros(n, np.uint64)
         later[: n - span] = np.where(left[: n - span] > span, rank[span:], np.uint64(0))
-        key = rank * np.uint64(n + 1) + later
+        key, bits = rank << np.uint64(half) | later, 2 * half
         span *= 2
 
 
@@ -124,16 +134,20 @@ class RunIndex:
 
 
 def _common(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Length that the suffixes at a and b share within their texts (b -1: none)."""
+    """Length that the suffixes at a and b share within their texts (b -1: none). Seven symbols at a time, then one by one."""
+    n = len(symbols)
+    padded = np.concatenate((symbols.astype(np.uint64), np.zeros(7, np.uint64)))
+    seven = np.zeros(n, np.uint64)
+    for i in range(7):
+        seven = seven << np.uint64(9) | padded[i : n + i]
     out = np.zeros(len(a), np.int64)
     live = np.flatnonzero(b >= 0)
     limit = np.minimum(end[a[live]] - a[live], end[b[live]] - b[live])
-    step = 0
-    while len(live):
-        same = limit > step
-        live, limit = live[same], limit[same]
-        same = symbols[a[live] + step] == symbols[b[live] + step]
-        live, limit = live[same], limit[same]
-        out[live] += 1
-        step += 1
+    for width, words in ((7, seven), (1, symbols)):
+        left = np.arange(len(live))
+        while len(left):
+            left = left[out[live[left]] + width <= limit[left]]
+            at = live[left]
+            left = left[words[a[at] + out[at]] == words[b[at] + out[at]]]
+            out[live[left]] += width
     return out
