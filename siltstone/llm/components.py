@@ -14,20 +14,20 @@ from pyspark.sql import functions as F
 from .common import materialised
 
 
-def _minimum(edges: DataFrame, both: bool) -> DataFrame:
-    """least: the smallest of u and its neighbours; with both=False edges hold only smaller neighbours."""
+def _minimum(edges: DataFrame) -> DataFrame:
+    """least: the smallest of u and the neighbours that edges list for it."""
     return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    up = both.where("v > u").join(_minimum(both, True), "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+    up = both.where("v > u").join(_minimum(both), "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     return up.where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    least = _minimum(down, False)
+    least = _minimum(down)
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     own = least.select("u", F.col("least").alias("v"))
     return moved.unionByName(own).where("u <> v").distinct()

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -54,20 +54,24 @@ def fingerprint(text: bytes, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """id (doc_id, or one from the text), fp (as a signed long): a row for each row of docs."""
+    """id (doc_id, or one from the text), h (hash of the text), fp (as a signed long): a row for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             fps = np.fromiter((fingerprint(t.as_py(), words) for t in texts), np.uint64, batch.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps, pa.int64())], ["id", "h", "fp"])
 
     ship_package(docs.sparkSession)
-    known = docs.select(id_of(), text_or_empty().alias("text"))
-    return known.mapInArrow(run, "id long, fp long")
+    known = docs.select(id_of(), text_or_empty().alias("text"), text_hash())
+    return known.mapInArrow(run, "id long, h long, fp long")
 
 
-def id_of():
+def text_hash() -> Column:
+    return F.xxhash64(text_or_empty()).alias("h")
+
+
+def id_of() -> Column:
     surrogate = F.xxhash64("text").bitwiseAND(F.lit(UNKNOWN - 1)) + F.lit(UNKNOWN)
     return F.coalesce(F.col("doc_id").cast("long"), surrogate).alias("id")
 
@@ -223,14 +227,14 @@ def fingerprint_links(classes: DataFrame, budget: int = 2, capacity: int = 131_0
 
 
 def labelled(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
-    """id, fp, component (smallest id reachable, as long): a row for each row of docs."""
+    """id, h, fp, root (a fingerprint that names the group), component (its smallest id): a row for each row of docs."""
     rows = materialised(fingerprints(docs, words))
     classes = materialised(rows.groupBy("fp").agg(F.min("id").alias("first")))
     roots = connected_components(fingerprint_links(classes.select("fp"), budget))
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    named = rooted.join(smallest, "root").select("fp", "component")
-    return rows.join(named, "fp").select("id", "fp", "component")
+    named = rooted.join(smallest, "root").select("fp", "root", "component")
+    return rows.join(named, "fp").select("id", "h", "fp", "root", "component")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
@@ -240,9 +244,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFra
 
 
 def keep_one(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
-    """docs without near-duplicates: of each group the row with the smallest id stays (one, if ids repeat)."""
-    kept_id, turn = free_name(docs.columns, "kept_id"), free_name(docs.columns, "turn")
-    kept = labelled(docs, words, budget).where("id = component").select(F.col("id").alias(kept_id)).distinct()
-    keyed = docs.withColumn(kept_id, id_of())
-    one = keyed.join(kept, kept_id, "left_semi").withColumn(turn, F.row_number().over(Window.partitionBy(kept_id).orderBy(F.xxhash64("text"))))
+    """docs without near-duplicates: of each group one row with the smallest id stays, even where ids or rows repeat."""
+    kept_id, kept_hash, turn = (free_name(docs.columns, c) for c in ("kept_id", "kept_hash", "turn"))
+    smallest = labelled(docs, words, budget).where("id = component")
+    kept = smallest.groupBy("root").agg(F.min("component").alias(kept_id), F.min("h").alias(kept_hash)).drop("root")
+    keyed = docs.withColumn(kept_id, id_of()).withColumn(kept_hash, text_hash())
+    twin = F.row_number().over(Window.partitionBy(kept_id, kept_hash).orderBy(F.lit(1)))
+    one = keyed.join(kept, [kept_id, kept_hash], "left_semi").withColumn(turn, twin)
     return one.where(F.col(turn) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -73,7 +73,7 @@ def brute_repeats(rows, length):
             if first[b[p : p + length]] < k:
                 gone[p : p + length] = b"\1" * length
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
-        spans = len(re.findall(rb"\1+", bytes(gone)))
+        spans = sum(g and not (p and gone[p - 1]) for p, g in enumerate(gone))
         out.append((i, len(b), len(b) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
     return sorted(out, key=repr)
 
