@@ -64,11 +64,10 @@ def preview(pages: DataFrame) -> DataFrame:
     )
 
 
-def run_census(index: DataFrame, store: CensusStore, warc_root: str, budgets: Mapping[str, int], crawl: str, max_per_domain: int | None = None, store_links: bool = False) -> DataFrame:
-    """Discover, fetch what is not stored yet, classify and store. Returns the fetch results (url, ok, error)."""
+def fetch_and_store(found: DataFrame, store: CensusStore, warc_root: str, crawl: str, store_links: bool = False) -> DataFrame:
+    """Fetches the candidates that are not stored yet, classifies and stores them. Returns the results (url, ok, error)."""
     excluded = excluded_domains()
-    todo = unseen(discover(index, budgets, excluded, max_per_domain), store.pages)
-    results = fetch_pages(todo, warc_root).withColumnRenamed("url_host_tld", "tld").drop("bucket")
+    results = fetch_pages(unseen(found, store.pages), warc_root).withColumnRenamed("url_host_tld", "tld").drop("bucket")
     results = (with_links(results) if store_links else results).persist(StorageLevel.DISK_ONLY)  # fetched and parsed once for pages and links
     good = results.where("ok")
     facts = page_facts(good, "count" if store_links else "none", excluded).withColumns({"crawl": F.lit(crawl), "timestamp": F.lit("")})
@@ -76,3 +75,8 @@ def run_census(index: DataFrame, store: CensusStore, warc_root: str, budgets: Ma
     if store_links:
         store.save_links(link_facts(good, excluded))
     return results.select("url", "ok", "error")
+
+
+def run_census(index: DataFrame, store: CensusStore, warc_root: str, budgets: Mapping[str, int], crawl: str, max_per_domain: int | None = None, store_links: bool = False) -> DataFrame:
+    """Discover, fetch what is not stored yet, classify and store. Returns the fetch results (url, ok, error)."""
+    return fetch_and_store(discover(index, budgets, excluded_domains(), max_per_domain), store, warc_root, crawl, store_links)

@@ -244,3 +244,26 @@ def test_stream_of_pages_is_classified(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("classified_pages").trigger(availableNow=True).start()
     query.awaitTermination()
     assert {(r.url, r.engine_name) for r in spark.table("classified_pages").collect()} == {("http://a.co/", "phpBB"), ("http://b.co/", None)}
+
+
+def test_command_line(spark, tmp_path):
+    from siltstone.cli import budgets_of, main
+
+    rec = record(b"<title>T</title>Powered by phpBB")
+    (tmp_path / "f").write_bytes(rec)
+    rows = [(f"http://{d}/", "co", d, 200, "text/html", "f", 0, len(rec)) for d in ("a.co", "b.co", "x.com")]
+    spark.createDataFrame(rows, index.INDEX).coalesce(1).write.parquet(f"{tmp_path}/index")
+    (tmp_path / "config.json").write_text(json.dumps({"comment": "x", "countries": "de,co", "total_limit": 10, "index": "overridden"}))
+    found, kept = f"{tmp_path}/found", f"{tmp_path}/store"
+    out = main(["discover", "--config", f"{tmp_path}/config.json", "--index", f"{tmp_path}/index", "--candidates-file", found], spark)
+    assert [tuple(r) for r in out.collect()] == [("co", 2)]
+    assert main(["fetch", "--candidates-file", found, "--warc-root", f"file://{tmp_path}", "--store", kept, "--crawl", "C"], spark).count() == 0
+    assert [tuple(r) for r in main(["report", "--store", kept, "--report", "engine-distribution"], spark).collect()] == [("Forum", 2)]
+    assert main(["report", "--store", kept, "--sql", "SELECT count(*) FROM pages"], spark).first()[0] == 2
+    main(["merge", f"{tmp_path}/merged", kept, kept], spark)
+    main(["dashboard", "--store", f"{tmp_path}/merged", "--out", f"{tmp_path}/d.json"], spark)
+    assert json.loads((tmp_path / "d.json").read_text())["pages"] == 2
+    seen = main(["preview", "--candidates-file", found, "--warc-root", f"file://{tmp_path}", "-n", "1", "--save", f"{tmp_path}/html"], spark)
+    assert [r.title for r in seen.collect()] == ["T"] and (tmp_path / "html/preview_1.html").exists()
+    with pytest.raises(SystemExit):
+        budgets_of({})
