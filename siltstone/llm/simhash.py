@@ -243,12 +243,16 @@ def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFra
     return labelled(docs, words, budget).select(real("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), real("component").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
-    """docs without near-duplicates: of each group one row with the smallest id stays, even where ids or rows repeat."""
+def keep_smallest(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """docs with one row a group: the smallest id, then the smallest text hash. groups: id, h, root, component, a row for each row of docs."""
     kept_id, kept_hash, turn = (free_name(docs.columns, c) for c in ("kept_id", "kept_hash", "turn"))
-    smallest = labelled(docs, words, budget).where("id = component")
-    kept = smallest.groupBy("root").agg(F.min("component").alias(kept_id), F.min("h").alias(kept_hash)).drop("root")
+    kept = groups.where("id = component").groupBy("root").agg(F.min("component").alias(kept_id), F.min("h").alias(kept_hash)).drop("root")
     keyed = docs.withColumn(kept_id, id_of()).withColumn(kept_hash, text_hash())
     twin = F.row_number().over(Window.partitionBy(kept_id, kept_hash).orderBy(F.lit(1)))
     one = keyed.join(kept, [kept_id, kept_hash], "left_semi").withColumn(turn, twin)
     return one.where(F.col(turn) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def keep_one(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
+    """docs without rows of like fingerprints: of each group one row with the smallest id stays, even where ids or rows repeat."""
+    return keep_smallest(docs, labelled(docs, words, budget))

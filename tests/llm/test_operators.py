@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from siltstone.llm import components, decontamination, exact_dedup, licences, mixing, pii, quality, queries, runindex, sharding, simhash, suffix_dedup, toxicity
+from siltstone.llm import components, decontamination, exact_dedup, licences, minhash, mixing, pii, quality, queries, runindex, sharding, simhash, suffix_dedup, toxicity
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -421,6 +421,65 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+# --- near-duplicates by shingle similarity --------------------------------------------------------
+
+
+def slow_shingles(text):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def slow_groups(texts):
+    """For each text the number of its group: components of the links of 5-word similarity 0.8 or more."""
+    sets = [slow_shingles(t) for t in texts]
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or (a and sets[j] and 5 * len(a & sets[j]) >= 4 * len(a | sets[j])):
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(sets))]
+
+
+def near_copies():
+    """Texts of 30 to 300 words with up to eight copies each, of similarities around 0.8."""
+    rnd = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    texts = []
+    for _ in range(60):
+        base = [rnd.choice(vocabulary) for _ in range(rnd.choice([30, 60, 120, 300]))]
+        texts.append(" ".join(base))
+        for _ in range(rnd.randint(0, 8)):
+            words = list(base)
+            for _ in range(rnd.randint(0, max(2, len(base) // 20))):
+                words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
+            texts.append("\n".join(words).upper() if rnd.random() < 0.2 else " ".join(words))
+    return texts
+
+
+def test_pipeline_drops_near_duplicates(spark):
+    texts = [*near_copies(), *[r[1] for r in ROWS]]
+    groups = slow_groups(texts)
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, DATA).collect()}
+    assert not set(groups) - {groups[i] for i in kept}
+    assert Counter(groups[i] for i in kept) == {g: 1 for g in groups}
+    assert kept == set({g: i for i, g in reversed(list(enumerate(groups)))}.values())
+
+
+def test_near_duplicates_over_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 2)
+    texts = near_copies()
+    groups = slow_groups(texts)
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
+    assert [r.component for r in sorted(minhash.labelled(docs).collect())] == [min(j for j, h in enumerate(groups) if h == g) for g in groups]
+
+
 # --- op10 ----------------------------------------------------------------------------------------
 
 
