@@ -254,5 +254,8 @@ def keep_smallest(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
-    """docs without rows of like fingerprints: of each group one row with the smallest id stays, even where ids or rows repeat."""
+    """docs without rows of like fingerprints: of each group one row with the smallest id stays, even where ids or rows repeat.
+
+    Links are not verified: fingerprints say little about the share of common shingles. See minhash.keep_one for that.
+    """
     return keep_smallest(docs, labelled(docs, words, budget))

@@ -480,6 +480,27 @@ def test_near_duplicates_over_many_tiles(spark, monkeypatch):
     assert [r.component for r in sorted(minhash.labelled(docs).collect())] == [min(j for j, h in enumerate(groups) if h == g) for g in groups]
 
 
+def test_pipeline_keeps_what_is_less_similar(spark):
+    """Repeated lines settle a fingerprint, whatever else a text says; links below the similarity must not join groups either."""
+    rnd = random.Random(13)
+    word = lambda: f"v{rnd.randrange(10**6)}"
+    line = [word() for _ in range(7)]  # odd, so that no bit is a tie
+    texts = [" ".join(line * 60 + [word() for _ in range(30)]) for _ in range(10)]
+    base = [word() for _ in range(200)]
+    for n in (4, 6, 8):  # a run of n new words: 196 - n - 4 of 196 + n + 4 shingles stay; similarity 0.92, 0.90, 0.88
+        texts.append(" ".join(base[:90] + [word() for _ in range(n)] + base[90 + n :]))
+    for n in (20, 30, 60):  # 0.78, 0.70, 0.51
+        texts.append(" ".join(base[:90] + [word() for _ in range(n)] + base[90 + n :]))
+    texts.append(" ".join(base))
+    fps = [slow_fingerprint(t) for t in texts]
+    assert sum((a ^ b).bit_count() <= 4 for i, a in enumerate(fps[:10]) for b in fps[:i]) > 20
+    groups = slow_groups(texts)
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, DATA).collect()}
+    assert kept == set({g: i for i, g in reversed(list(enumerate(groups)))}.values())
+    assert kept >= {*range(11), 13, 14, 15}
+
+
 # --- op10 ----------------------------------------------------------------------------------------
 
 
