@@ -33,16 +33,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(own).where("u <> v").distinct()
 
 
+def _state(edges: DataFrame) -> tuple:
+    """Changes whenever the edges do, and cannot overflow. xor needs edges without repeats."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """edges: u, v (long). Returns node, root (smallest node of its component) for every node that is not itself a root.
 
     Loops and repeated edges are allowed; no edges give no rows.
     """
     now = materialised(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-    mark = F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit((1 << 40) - 1)))
     state = None
     for _ in range(max_rounds):
-        new = now.agg(F.count("*"), mark).first()
+        new = _state(now)
         if new == state:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = new

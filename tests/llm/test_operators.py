@@ -421,6 +421,13 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_component_rounds_compare_any_number_of_edges(spark):
+    edges = spark.range(18_000_000).selectExpr("id AS u", "id + 1 AS v")  # a sum of 40-bit hashes of these passes a long
+    state = components._state(edges)
+    assert state[0] == 18_000_000
+    assert state == components._state(edges.repartition(3)) != components._state(edges.replace(5, -5, "u"))
+
+
 # --- near-duplicates by shingle similarity --------------------------------------------------------
 
 
