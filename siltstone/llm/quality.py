@@ -7,7 +7,7 @@ vectors are broadcast: at most ``max_labelled`` of them, whatever the input. Eve
 exact cosine with every labelled vector, in blocks of matrix products, and its ``neighbours`` nearest vote with their similarity as weight.
 
 Training reads labels of rows outside the held-out quarter only, and at most ``max_labelled`` of them (those whose MD5
-of doc_id is smallest: a bounded sample, the same in every run); everything else covers all rows and whole texts.
+of doc_id is smallest, one text each: a bounded sample, the same in every run); everything else covers all rows and whole texts.
 
 Null and empty texts are scored like any other (no terms: the share of label 1). Rows without doc_id are not held out.
 Labels that are null or have no document are unused; without usable labels every score is 0.5. Repeated
@@ -68,14 +68,16 @@ def held_out(fold: int = 2) -> Column:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, columns: list[str], limit: int) -> DataFrame:
-    """doc_id, text and the label columns of at most limit labelled documents outside the held-out fold."""
+    """doc_id, text and the label columns of at most limit labelled documents outside the held-out fold: one row a doc_id,
+    of rows that repeat it the smallest text."""
     usable = labels.where(F.col("doc_id").isNotNull() & ~held_out())
     for c in columns:
         usable = usable.where(F.col(c).isNotNull())
     # one row a document; of contradicting labels the smallest
-    chosen = usable.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in columns]).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(limit)
+    one = usable.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in columns]).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = one.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(limit)
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", *columns).agg(F.min("text").alias("text")).select("doc_id", "text", *columns)
 
 
 class Model:

@@ -202,6 +202,17 @@ def test_quality_ignores_held_out_labels(spark):
     assert rows_of(quality.quality(docs, labels), *pick) == rows_of(quality.quality(docs, flipped), *pick)
 
 
+def test_labelled_rows_are_bounded(spark):
+    """Rows that repeat a doc_id, and labels without a document, take up no places."""
+    docs = spark.createDataFrame([(i % 8, f"text {i}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in [*range(8), *range(1000, 1200)]], "doc_id long, quality int")
+    usable = {r.doc_id for r in labels.where(~quality.held_out()).collect() if r.doc_id < 8}
+    for limit in (2, 100):
+        rows = quality.labelled_rows(docs, labels, ["quality"], limit).collect()
+        assert len(rows) == len({r.doc_id for r in rows}) == min(limit, len(usable))
+        assert all(r.text == min(f"text {i}" for i in range(400) if i % 8 == r.doc_id) for r in rows)
+
+
 def test_chain_learns_and_uses_earlier_categories(spark):
     rnd = random.Random(4)
     filler = [f"f{i}" for i in range(200)]
