@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import run_folder, shared_dir, ship_package  # noqa: F401
 
 #: ASCII white space, and a word: a maximal run of anything else.
 SPACE = r"[\x20\x09-\x0D]"
@@ -19,21 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
-
-    Where the cluster names none (tests on one machine), a temporary folder is set once.
-    """
-    ship_package(spark)
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltstone-shared-")
-    sc.setCheckpointDir(named)
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
 def materialised(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder once and cuts its lineage there; survives lost executors."""
     shared_dir(df.sparkSession)

@@ -1,32 +1,43 @@
 """Exact dedup by an extendible-hash index on shared files (DataFrame functions only).
 
-1. Every text is normalised (ASCII white space deleted) and hashed to 64 bits. A histogram over the
-   first ``max_depth`` hash bits is enough to grow the directory: while a bucket holds more than
-   ``capacity`` distinct hashes it is split, which doubles the directory when the bucket's own
-   depth has reached the directory's. The histogram has at most 2**max_depth cells whatever
-   the input, so the directory is a bounded broadcast.
-2. Rows are pre-aggregated by (bucket, hash, normalised bytes) before the shuffle, so a group of
-   copies costs one row a task, and grouping on the bytes themselves compares them.
-3. Owner tasks take ranges of (bucket, hash): they chain the distinct texts that collide on one
-   64-bit hash and write the index to the shared folder, without the texts.
-4. Each row finds its entry by (hash, SHA-256). Rows of one huge group spread over tasks: the index has
-   one row a group, so the adaptive skew join can split the row side.
+1. Every text is normalised (ASCII white space deleted) and hashed to 64 bits.
+2. The directory. A bucket that holds more than ``capacity`` distinct hashes is split at its next bit, and the directory doubles
+   whenever a bucket as deep as the directory splits; there is no limit to the depth. The outcome is written down
+   directly: a bucket's depth is the least number of leading bits at which no more than ``capacity`` hashes share them, and the
+   directory's depth is that of its deepest bucket. Counting is distributed; the driver sees the largest count only.
+3. Rows are addressed through the directory to (bucket, hash) and pre-aggregated with their normalised bytes before the
+   shuffle, so a group of copies costs one row a task. Grouping on the bytes themselves compares them.
+4. Owner tasks take ranges of (bucket, hash), chain the different texts that collide on one hash, and write their buckets to a
+   shared file in key order, without the texts.
+5. Each row finds its entry through the directory by (bucket, hash, SHA-256). Groups of more than ``max(HOT, rows / HOT_GROUPS)`` rows, of
+   which there are at most ``HOT_GROUPS``, are looked up in a broadcast, so their rows stay where they are; all others
+   meet their entries by a join, in which no group is larger than that.
+
+The directory is broadcast while it has at most ``2 * CELLS`` cells. Capacity is at least hashes / CELLS * 4, which keeps it there, as
+hashes are spread evenly; should it be larger still, it is joined without broadcast.
 
 Null texts count as empty; empty texts form one group. Of a group the row with the most code points in
 its original text stays, then the smallest doc_id (null ids last). Rows that repeat a doc_id are
-rows of their own: each is returned. An empty table gives an empty result. Extra input columns are ignored.
+rows of their own: each is returned, and of rows alike in all this one stays. An empty table gives an empty result. Extra input
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialised, shuffle_partitions, text_or_empty
+from .common import materialised, run_folder, shuffle_partitions, text_or_empty
 
 #: The ASCII white space that normalisation deletes.
 DELETED = " \t\n\x0b\x0c\r"
+CELLS = 1 << 18
+HOT, HOT_GROUPS = 20_000, 10_000
 
 
 def normalised(text: Column) -> Column:
@@ -39,70 +50,89 @@ def _prefix(h: Column, bits: int) -> Column:
 
 
 class Directory:
-    """Extendible-hash directory: ``cells[prefix] = bucket`` at ``depth`` bits."""
-
-    def __init__(self, counts: dict[int, int], max_depth: int, capacity: int):
-        self.depth, self.cells, self.local = 0, [0], [0]
-        weight = [sum(counts.values())]
-        full = [0] if weight[0] > capacity else []
-        while full:
-            bucket = full.pop()
-            if self.local[bucket] == max_depth:
-                continue
-            if self.local[bucket] == self.depth:
-                self.cells = [b for b in self.cells for _ in (0, 1)]
-                self.depth += 1
-            self.local[bucket] += 1
-            self.local.append(self.local[bucket])
-            other = len(self.local) - 1
-            owned = [i for i, b in enumerate(self.cells) if b == bucket]
-            for i in owned[len(owned) // 2 :]:
-                self.cells[i] = other
-            moved = set(owned[len(owned) // 2 :])
-            shift = max_depth - self.depth
-            right = sum(n for prefix, n in counts.items() if prefix >> shift in moved)
-            weight.append(right)
-            weight[bucket] -= right
-            full += [b for b in (bucket, other) if weight[b] > capacity]
-
-    def frame(self, spark) -> DataFrame:
-        return spark.createDataFrame(list(enumerate(self.cells)), "cell long, bucket int")
-
-
-def build_directory(hashes: DataFrame, capacity: int, max_depth: int) -> Directory:
-    """hashes has the column h. At most 2**max_depth counts reach the driver."""
-    cells = hashes.groupBy(_prefix(F.col("h"), max_depth).alias("cell")).agg(F.approx_count_distinct("h").alias("n"))
-    return Directory({r.cell: r.n for r in cells.collect()}, max_depth, capacity)
-
-
-def exact_dedup(docs: DataFrame, capacity: int = 1_000_000, max_depth: int = 10) -> DataFrame:
+    """Extendible-hash directory: cells of ``depth`` bits, each with its bucket (the bucket's first cell) and the bucket's own depth."""
+
+    def __init__(self, depth: int, cells: DataFrame):
+        self.depth, self.cells = depth, materialised(cells)
+        self.size = self.cells.count()
+
+    def address(self, keyed: DataFrame) -> DataFrame:
+        """keyed (column h) with its bucket."""
+        if not self.depth:
+            return keyed.withColumn("bucket", F.lit(0).cast("long"))
+        cells = self.cells.select("cell", "bucket")
+        cells = F.broadcast(cells) if self.size <= 2 * CELLS else cells
+        return keyed.withColumn("cell", _prefix(F.col("h"), self.depth)).join(cells, "cell").drop("cell")
+
+
+def _histogram(hashes: DataFrame, capacity: int, bits: int) -> tuple[DataFrame, int]:
+    """Counts of the hashes by so many leading bits or more: enough that no cell holds more than capacity."""
+    while True:
+        counts = materialised(hashes.groupBy(_prefix(F.col("h"), bits).alias("cell")).agg(F.count("*").alias("n")))
+        if (counts.agg(F.max("n")).first()[0] or 0) <= capacity:  # 64 bits hold one hash a cell
+            return counts, bits
+        bits = min(64, bits + 3)
+
+
+def build_directory(hashes: DataFrame, capacity: int) -> Directory:
+    """hashes: distinct values h."""
+    n = hashes.count()
+    capacity = max(1, capacity, -(-n * 4 // CELLS))
+    counts, bits = _histogram(hashes, capacity, 0 if n <= capacity else min(64, math.ceil(math.log2(n / capacity)) + 2))
+    # every node above a cell, and the cell's bucket: the highest node that is not overfull
+    node = F.when(F.col("deep") == 0, F.lit(0).cast("long")).otherwise(F.expr(f"shiftrightunsigned(cell, {bits} - deep)"))
+    above = counts.withColumn("deep", F.explode(F.sequence(F.lit(0), F.lit(bits)))).withColumn("node", node)
+    fitting = above.groupBy("deep", "node").agg(F.sum("n").alias("held")).where(F.col("held") <= capacity)
+    local = above.join(fitting, ["deep", "node"]).groupBy("cell").agg(F.min("deep").alias("local"))
+    local = materialised(local)
+    depth = local.agg(F.max("local")).first()[0] or 0
+    if not depth:
+        return Directory(0, hashes.sparkSession.createDataFrame([(0, 0, 0)], "cell long, local int, bucket long"))
+    cells = local.select(F.shiftrightunsigned("cell", bits - depth).alias("cell"), "local").distinct()
+    first = F.when(F.col("local") == 0, F.lit(0).cast("long")).otherwise(F.expr(f"shiftleft(shiftrightunsigned(cell, {depth} - local), {depth} - local)"))
+    return Directory(depth, cells.withColumn("bucket", first))
+
+
+def _rank() -> Column:
+    """A number that orders rows as they are to be kept: points, then known ids, then small ids."""
+    number = lambda n: F.lit(Decimal(n))
+    own = F.coalesce(number(2**64 + 2**63 - 1) - F.col("doc_id").cast("decimal(20,0)"), number(0))
+    return (F.col("points").cast("decimal(11,0)") * number(2**66) + own).cast("decimal(38,0)").alias("rank")
+
+
+def build_index(keyed: DataFrame, directory: Directory) -> DataFrame:
+    """Entries bucket, h, text_sha256, chain, group_size, keep_id, rank (of the row to keep) from rows with doc_id, points, h and norm."""
+    entries = (
+        directory.address(keyed.select("doc_id", "h", "norm", _rank()))
+        .groupBy("bucket", "h", "norm")
+        .agg(F.count("*").alias("group_size"), F.max("rank").alias("rank"), F.max_by("doc_id", "rank").alias("keep_id"))
+        .select("bucket", "h", F.sha2("norm", 256).alias("text_sha256"), "group_size", "rank", "keep_id")
+    )
+    owners = entries.repartitionByRange(shuffle_partitions(keyed.sparkSession), "bucket", "h")
+    chained = owners.withColumn("chain", F.row_number().over(Window.partitionBy("bucket", "h").orderBy("text_sha256")).cast("long") - 1)
+    place = run_folder(keyed.sparkSession, "exact-index")
+    chained.write.parquet(place)
+    return keyed.sparkSession.read.parquet(place)
+
+
+def exact_dedup(docs: DataFrame, capacity: int = 500, hash_of: Callable[[str], Column] = F.xxhash64) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, chain: one row for each row of docs.
 
     chain is the text's place among different texts of one 64-bit hash (0 unless hashes collide).
     """
-    spark = docs.sparkSession
-    text = text_or_empty()
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("points"), normalised(text).alias("norm")
-    ).withColumn("h", F.xxhash64("norm"))
-    rows = materialised(keyed.select("doc_id", "points", "h", F.sha2("norm", 256).alias("text_sha256")))
-    directory = build_directory(rows, capacity, max_depth)
-    cell = _prefix(F.col("h"), directory.depth)
-    addressed = lambda df: df.withColumn("cell", cell).join(F.broadcast(directory.frame(spark)), "cell").drop("cell")
-    best = F.struct(F.col("points"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus"))
-    entries = (
-        addressed(keyed)
-        .groupBy("bucket", "h", "norm")
-        .agg(F.count("*").alias("group_size"), F.max(best).alias("best"))
-        .select("bucket", "h", F.sha2("norm", 256).alias("text_sha256"), "group_size", (-F.col("best.minus")).alias("keep_id"))
-    )
-    owners = entries.repartitionByRange(shuffle_partitions(spark), "bucket", "h")
-    chain = (F.row_number().over(Window.partitionBy("bucket", "h").orderBy("text_sha256")) - 1).alias("chain")
-    index = materialised(owners.select("h", "text_sha256", "group_size", "keep_id", chain))
-    # Among rows that repeat both the best length and the doc_id (or have no doc_id) only one is kept.
-    twin = F.row_number().over(Window.partitionBy("h", "text_sha256", "doc_id").orderBy(F.desc("points")))
-    found = rows.join(index, ["h", "text_sha256"])
-    same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    stays = found.where(same).withColumn("kept", twin == 1)
-    goes = found.where(~same).withColumn("kept", F.lit(False))
-    return goes.unionByName(stays).select("doc_id", "keep_id", "group_size", "kept", "text_sha256", F.col("chain").cast("long").alias("chain"))
+    text, key = text_or_empty(), ["bucket", "h", "text_sha256"]
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("points"), normalised(text).alias("norm"))
+    keyed = keyed.withColumn("h", hash_of("norm"))
+    rows = materialised(keyed.select("doc_id", "points", "h", F.sha2("norm", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("rid")))
+    directory = build_directory(materialised(rows.select("h").distinct()), capacity)
+    index = build_index(keyed, directory)
+
+    most = max(HOT, -(-rows.count() // HOT_GROUPS))
+    hot, cold = (F.broadcast(index.where(F.col("group_size") > most)), index.where(F.col("group_size") <= most))
+    own = directory.address(rows.select("doc_id", "h", "text_sha256", "rid", _rank().alias("own")))
+    best = F.when(F.col("own") == F.col("rank"), F.col("rid"))
+    found = own.join(cold, key).withColumn("stays", F.min(best).over(Window.partitionBy(*key)))
+    met = own.join(hot, key)
+    stays = met.groupBy(*key).agg(F.min(best).alias("stays"))  # at most HOT_GROUPS rows
+    found = found.unionByName(met.join(F.broadcast(stays), key))
+    return found.select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("stays")).alias("kept"), "text_sha256", "chain")

@@ -302,17 +302,77 @@ def test_against_sql(spark, tmp_path, name, which):
     assert rows_of(got, *pick) == sorted((tuple(r) for r in want.select(*pick).fetchall()), key=repr)
 
 
-def test_directory_splits_overfull_buckets():
-    rnd = random.Random(6)
-    counts = Counter(min(int(rnd.expovariate(0.05)), 255) for _ in range(5000))
-    d = exact_dedup.Directory(counts, 8, 100)
-    assert len(d.cells) == 2**d.depth
-    weight = defaultdict(int)
-    for prefix, n in counts.items():
-        weight[d.cells[prefix >> (8 - d.depth)]] += n
-    for bucket, n in weight.items():
-        assert n <= 100 or d.local[bucket] == 8
-    assert exact_dedup.Directory({}, 8, 100).cells == [0]
+def split_by_hand(hashes, capacity):
+    """Extendible hashing as in the books: insert one by one, split the overfull bucket, double the directory where it must."""
+    depth, directory, buckets = 0, [0], [(0, [])]  # (own depth, hashes)
+    for h in hashes:
+        while len(buckets[i := directory[h >> (64 - depth) if depth else 0]][1]) >= capacity:
+            own, held = buckets[i]
+            if own == depth:
+                directory, depth = [b for b in directory for _ in (0, 1)], depth + 1
+            bit = 64 - own - 1
+            buckets[i] = (own + 1, [x for x in held if not x >> bit & 1])
+            buckets.append((own + 1, [x for x in held if x >> bit & 1]))
+            prefix = next(c for c, b in enumerate(directory) if b == i) >> (depth - own) if own else 0
+            for c in range(len(directory)):
+                if directory[c] == i and c >> (depth - own - 1) == prefix * 2 + 1:
+                    directory[c] = len(buckets) - 1
+        buckets[i][1].append(h)
+    return depth, {h: own for own, held in buckets for h in held}
+
+
+@pytest.mark.parametrize("capacity", [2, 40, 1000])
+def test_directory_is_that_of_splitting_one_by_one(spark, capacity):
+    rnd = random.Random(capacity)
+    hashes = sorted({rnd.getrandbits(64) >> rnd.choice([0, 0, 2]) for _ in range(300)})
+    rnd.shuffle(hashes)
+    depth, own = split_by_hand(hashes, capacity)
+    frame = spark.createDataFrame([(h - (1 << 64) if h >> 63 else h,) for h in hashes], "h long")
+    directory = exact_dedup.build_directory(frame, capacity)
+    assert directory.depth == depth
+    local = {r.cell: (r.local, r.bucket) for r in directory.cells.collect()}
+    for h in hashes:
+        cell = h >> (64 - depth) if depth else 0
+        assert local[cell] == (own[h], cell >> (depth - own[h]) << (depth - own[h]))
+    assert directory.address(frame).count() == len(hashes)
+    assert exact_dedup.build_directory(frame.where("false"), capacity).depth == 0
+
+
+def test_directory_doubles_at_the_production_capacity(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    directory = exact_dedup.build_directory(docs.select(F.xxhash64(exact_dedup.normalised(F.col("text"))).alias("h")).distinct(), 500)
+    assert directory.depth >= 4 and directory.cells.select("bucket").distinct().count() >= 16
+
+
+def brute_groups(rows):
+    """doc_id, keep_id, group_size, sha of each row, and how many rows of each group are kept."""
+    by = defaultdict(list)
+    for i, t in rows:
+        by[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i is None, i or 0, i))
+    out = [(i, min(g)[3], len(g), hashlib.sha256(n.encode()).hexdigest()) for n, g in by.items() for *_, i in g]
+    return sorted(out, key=repr), len(by)
+
+
+@pytest.mark.parametrize("case", ["plain", "collisions", "hot groups", "no broadcast"])
+def test_exact_groups(docs, none, monkeypatch, case):
+    from pyspark.sql import functions as F
+
+    weak = lambda c: F.pmod(F.xxhash64(c), F.lit(5)) - 2
+    if case == "hot groups":
+        monkeypatch.setattr(exact_dedup, "HOT", 1)
+        monkeypatch.setattr(exact_dedup, "HOT_GROUPS", 1 << 40)
+    if case == "no broadcast":
+        monkeypatch.setattr(exact_dedup, "CELLS", 0.001)
+    rows = exact_dedup.exact_dedup(docs, 2, weak if case == "collisions" else F.xxhash64).collect()
+    want, groups = brute_groups([(r[0], r[1]) for r in ROWS])
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in rows), key=repr) == want
+    kept = [r for r in rows if r.kept]
+    assert len(kept) == len({r.text_sha256 for r in kept}) == groups and all(r.doc_id == r.keep_id for r in kept)
+    if case == "collisions":  # different texts of one hash are told apart and chained
+        assert max(r.chain for r in rows) >= groups / 5 - 1
+    assert exact_dedup.exact_dedup(none).count() == 0
 
 
 def test_mix_is_near_its_targets(docs):
