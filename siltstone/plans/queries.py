@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from ..functions.html import generator
 from ..functions.urls import host_suffixes, in_shard, netloc, url_hash
 from ..operators import dashboard, discover, links, reports, store
 from ..operators.classify import classified, known_categories, signals
-from ..session import shared_dir
+from ..session import run_folder
 from ..streaming.incremental import discover_by_part
 from . import census, fixtures
 from .budgets import allocate_budget
@@ -151,7 +149,7 @@ def discover_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def discover_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts of the index as files, worked off in order with carried budgets"""
-    place = f"{shared_dir(spark)}/by-part-{uuid.uuid4()}"
+    place = run_folder(spark, "by-part")
     index = fixtures.index_rows(spark, sf_dir)
     for part in range(8):
         index.where(F.col("part") == part).coalesce(1).write.mode("append").parquet(f"{place}/index")
