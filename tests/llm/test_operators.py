@@ -461,21 +461,25 @@ def test_trie_walk(budget):
     flips = (np.uint64(1) << rng.integers(0, 64, (15, 20)).astype(np.uint64)) ^ rng.integers(0, 2**64, 15, dtype=np.uint64)[:, None]
     a = np.unique(np.concatenate([rng.integers(0, 2**64, 200, dtype=np.uint64), flips.ravel()]))
     close = lambda x, y: (int(x) ^ int(y)).bit_count() <= budget
-    pairs = lambda x, y, **k: sorted((int(i), int(j)) for p, q in simhash.walk_pairs(x, y, budget, **k) for i, j in zip(p, q, strict=True))
-    assert pairs(a, a) == pairs(a, a, chunk=50) == [(i, j) for i in range(len(a)) for j in range(i + 1, len(a)) if close(a[i], a[j])]
-    b, c = a[::2].copy(), a[1::2].copy()
-    assert pairs(b, c) == [(i, j) for i in range(len(b)) for j in range(len(c)) if close(b[i], c[j])]
+    pairs = lambda x, nodes, **k: sorted((int(i), int(j)) for p, q in simhash.walk_pairs(x, np.array(nodes), budget, **k) for i, j in zip(p, q, strict=True))
+    n, whole = len(a), [[0, len(a), 0, len(a)]]
+    assert pairs(a, whole) == pairs(a, whole, chunk=50) == [(i, j) for i in range(n) for j in range(i + 1, n) if close(a[i], a[j])]
+    b = np.concatenate((a[::2], a[1::2]))
+    m = len(a[::2])
+    assert pairs(b, [[0, m, m, n]]) == [(i, j) for i in range(m) for j in range(m, n) if close(b[i], b[j])]
 
 
-def test_links_over_many_leaves(spark):
+@pytest.mark.parametrize(("budget", "capacity"), [(2, 131_072), (2, 3), (0, 5), (4, 10)])
+def test_links_over_many_nodes(spark, budget, capacity):
     rng = np.random.default_rng(9)
     base = rng.integers(0, 2**64, 60, dtype=np.uint64)
     fps = sorted({int(x) for x in base} | {int(x) ^ 1 << int(b) for x in base for b in rng.integers(0, 64, 3)} | {int(x) ^ 1 << 63 ^ 1 << int(rng.integers(50, 63)) for x in base})
+    fps = sorted({*fps, *[fps[0] ^ 1 << int(b) ^ 1 << int(c) for b, c in rng.integers(0, 64, (60, 2))]})  # a crowd around one
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     frame = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
-    edges = simhash.fingerprint_links(frame, budget=2, capacity=10, max_depth=8)
+    edges = simhash.fingerprint_links(frame, budget, capacity)
     got = {r.node: r.root for r in components.connected_components(edges).collect()}
-    root = slow_components(fps, 2)
+    root = slow_components(fps, budget)
     group = defaultdict(set)
     for x in fps:
         group[got.get(signed(x), signed(x))].add(x)
@@ -485,6 +489,19 @@ def test_links_over_many_leaves(spark):
     assert sorted(map(sorted, group.values())) == sorted(map(sorted, want.values()))
 
 
+def test_ids_of_any_size(spark):
+    """No value of doc_id has a meaning of its own."""
+    ids = [(1 << 62) + 5, (1 << 63) - 1, -(1 << 63), None, None, 7]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in zip(ids, ["a b c d", "a b c d", "q", "a b c d", "z z", "z z"], strict=True)], SCHEMA)
+    got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=repr)
+    assert got == sorted([(ids[0], ids[0]), (ids[1], ids[0]), (ids[2], ids[2]), (None, ids[0]), (None, 7), (7, 7)], key=repr)
+    for kept in (simhash.keep_one(docs), minhash.keep_one(docs)):
+        assert sorted(r.doc_id for r in kept.collect()) == sorted([ids[0], ids[2], 7])
+    alone = docs.where("doc_id IS NULL")
+    assert {r.component_id for r in simhash.near_duplicates(alone).collect()} == {None}
+    assert minhash.keep_one(alone).count() == simhash.keep_one(alone.unionByName(alone)).count() == 2
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(chain, "u long, v long")).collect()}
