@@ -617,11 +617,30 @@ def test_base_detection_equals_the_patterns():
 DISGUISED = [
     ("write john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
     ("mail jane at example dot org please", "email", "jane at example dot org"),
+    ("john [at] example dot com", "email", "john [at] example dot com"),
+    ("john at example [dot] com", "email", "john at example [dot] com"),
+    ("john@example dot com", "email", "john@example dot com"),
+    ("so john dot doe at example dot com", "email", "john dot doe at example dot com"),
+    ("john(at)mail.example.com.", "email", "john(at)mail.example.com"),
+    ("a<at>b<dot>de", "email", "a<at>b<dot>de"),
+    ("escribe a ana arroba correo punto es", "email", "ana arroba correo punto es"),
+    ("marie arobase poste point fr", "email", "marie arobase poste point fr"),
+    ("kurt [at] post punkt de", "email", "kurt [at] post punkt de"),
+    ("bob&#64;example&#46;com", "email", "bob&#64;example&#46;com"),
+    ("bob%40example.com", "email", "bob%40example.com"),
+    ("bob {@} example.com", "email", "bob {@} example.com"),
     ("аdmin@exаmple.com", "email", "аdmin@exаmple.com"),
     ("so ＢＯＢ＠ｅｘ．ｃｏｍ", "email", "ＢＯＢ＠ｅｘ．ｃｏｍ"),
     ("call +one four one five five five five two six seven one now", "phone", "+one four one five five five five two six seven one"),
+    ("call plus four nine double five one two triple six, seven", "phone", "plus four nine double five one two triple six, seven"),
+    ("llama a plus tres cuatro nueve uno dos ocho cero siete seis ya", "phone", "plus tres cuatro nueve uno dos ocho cero siete seis"),
+    ("ruf plus vier neun fünf null eins zwo drei sechs sieben acht an", "phone", "plus vier neun fünf null eins zwo drei sechs sieben acht"),
+    ("plus four nine 555 one two twenty three nineteen", "phone", "plus four nine 555 one two twenty three nineteen"),
+    ("card four one one one 1111 one one one one 1111", "card", "four one one one 1111 one one one one 1111"),
     ("id 4​111 1111 1111 1111.", "card", "4​111 1111 1111 1111"),
     ("ip 10 (dot) 0 (dot) 0 (dot) 1 ok", "ip", "10 (dot) 0 (dot) 0 (dot) 1"),
+    ("ip 10 dot 0 dot 0 dot 1 ok", "ip", "10 dot 0 dot 0 dot 1"),
+    ("ip 10.0[.]0 dot 1 ok", "ip", "10.0[.]0 dot 1"),
 ]
 
 
@@ -631,12 +650,61 @@ def test_disguises(text, kind, found):
     assert [(k, text[a:b]) for k, a, b in spans if (k, a, b) not in base] == [(kind, found)]
 
 
+def test_generated_disguises():
+    """Addresses and numbers in random disguises, in random texts: each is found at its source characters."""
+    rnd = random.Random(21)
+    name = lambda: "".join(rnd.choice("bcdfghjklm") for _ in range(rnd.randint(2, 7)))
+    brackets = ["[]", "()", "{}", "<>"]
+    digits = [w for w, v in pii.NUMBER_WORDS.items() if len(v) == 1]
+
+    def mark(words, plain):
+        o, c = rnd.choice(brackets)
+        gap = rnd.choice(["", " "])
+        w = rnd.choice([*words.split("|"), plain])
+        return rnd.choice([f"{gap}{o}{w}{c}{gap}", f" {rnd.choice(words.split('|'))} "])
+
+    for _ in range(2_000):
+        dot = lambda: mark(pii.DOT_WORDS, ".")
+        kind = rnd.choice(["email", "ip", "phone"])
+        if kind == "email":
+            local = name() + rnd.choice(["", "." + name(), dot() + name()])
+            hidden = local + mark(pii.AT_WORDS, "@") + name() + rnd.choice([dot() + name() + dot(), dot()]) + rnd.choice(["com", "de", "info"])
+        elif kind == "ip":
+            hidden = str(rnd.randrange(256)) + "".join((rnd.choice([dot(), "."]) if i else dot()) + str(rnd.randrange(256)) for i in range(3))
+        else:
+            hidden = rnd.choice(["+", "plus "]) + rnd.choice([" ", "-"]).join(rnd.choice(digits) for _ in range(rnd.randint(9, 15)))
+        if rnd.random() < 0.3:
+            hidden = "".join(next((k for k, v in pii.LOOKALIKES.items() if v == ch), ch) if rnd.random() < 0.3 and kind == "email" else ch for ch in hidden)
+        before, after = f"zq ¡{name()}! ", f"; {name()} é"
+        base, spans = pii.find(before + hidden + after)
+        assert (kind, len(before), len(before + hidden)) in spans, hidden
+
+
 def test_plain_text_gains_nothing():
-    for text in ("look at the dot", "one two three", "meet at noon, at home", "café at 5.30", "a@b.co"):
+    plain = ["look at the dot", "one two three", "meet at noon, at home", "café at 5.30", "a@b.co", "see us at example.com", "the point at issue. Four or five, six", "version 1.2 point 4", "un deux trois", "a.b@c.de and at c.de"]
+    for text in plain:
         base, spans = pii.find(text)
         assert base == spans == base_spans(text)
 
 
+def test_long_runs_take_linear_time():
+    import time
+
+    n = 1_000_000
+    took = {}
+    for name, text in {
+        "digits": "1" * n + " .", "digit pairs": "1" * (n // 2) + "." + "1" * (n // 2) + ". +1", "dotted": "1." * (n // 2), "words": "a dot " * (n // 6), "ats": "a at " * (n // 5) + "[dot] x", "at signs": "a@" * (n // 2),
+        "numbers": "one " * (n // 4), "plus": "+1(" * (n // 3), "name": "x" * n + "@", "dots at": "a.b dot " * (n // 8) + "at x",
+    }.items():
+        began = time.process_time()
+        pii.find(text)
+        took[name] = time.process_time() - began
+    began = time.process_time()
+    sum(i for i in range(10_000_000))
+    unit = time.process_time() - began  # half a second on most machines
+    assert max(took.values()) < 10 * unit, took
+
+
 def test_pii_rows(docs, none):
     for r in pii.digest(docs).collect():
         assert r.n_added >= 0
