@@ -50,11 +50,11 @@ def _budget_of(budgets: Mapping[str, int]) -> Column:
 def within_budgets(rows: DataFrame, budgets: Mapping[str, int], max_per_domain: int | None) -> DataFrame:
     """The first rows of each registered domain up to its cap, then of each bucket up to its budget, in scan order.
 
-    A domain lies in one bucket, so its cap nests inside the budget. A window over a whole bucket would sort a hot one in
+    A domain lies in one bucket, so its cap nests inside the budget; rows without a domain count as one domain. A window over a whole bucket would sort a hot one in
     a single task: instead each part's rows are counted, which gives the room that is left for it, and rows are placed within their part.
     """
     if max_per_domain is not None:
-        place = F.row_number().over(Window.partitionBy("bucket", "url_host_registered_domain").orderBy("part", "row_in_part"))
+        place = F.row_number().over(Window.partitionBy("url_host_registered_domain").orderBy("part", "row_in_part"))
         rows = rows.withColumn("_place", place).where(F.col("_place") <= max_per_domain).drop("_place")
     counted = rows.groupBy("bucket", "part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -69,9 +69,15 @@ def candidates(rows: DataFrame) -> DataFrame:
     )
 
 
+def tlds_of(buckets: DataFrame, wanted: Mapping[str, int]) -> list[str]:
+    """Top-level domains of the wanted buckets; a dimension of a few hundred rows."""
+    return sorted(r.tld for r in buckets.collect() if r.bucket in wanted)
+
+
 def discover(index: DataFrame, budgets: Mapping[str, int], excluded: Sequence[str], max_per_domain: int | None = None, buckets: DataFrame | None = None) -> DataFrame:
-    """Candidates under budgets, over the whole index at once. Buckets without a budget are not scanned."""
-    rows = with_bucket(fetched_pages(index), buckets).where(F.col("bucket").isin(sorted(budgets)))
+    """Candidates under budgets, over the whole index at once. The top-level domains of buckets with a budget are a filter of the scan."""
+    buckets = buckets if buckets is not None else bucket_frame(index.sparkSession)
+    rows = with_bucket(fetched_pages(index, tlds_of(buckets, budgets)), buckets).where(F.col("bucket").isin(sorted(budgets)))
     return candidates(within_budgets(without_excluded(rows, "url_host_registered_domain", excluded), budgets, max_per_domain))
 
 
@@ -93,9 +99,13 @@ def unseen(found: DataFrame, stored: DataFrame) -> DataFrame:
     return found.join(stored.select("url").distinct(), "url", "left_anti").select(*found.columns)
 
 
+def _draw(seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.col("url")))
+
+
 def shuffled(found: DataFrame, seed: int = 42) -> DataFrame:
     """A seeded permutation."""
-    return found.orderBy(F.xxhash64("url", F.lit(seed)), "url")
+    return found.orderBy(_draw(seed), "url")
 
 
 def sample(found: DataFrame, n: int, seed: int = 42, scanned: int = 20_000, bucket: str | None = None, url: str | None = None) -> DataFrame:
@@ -103,4 +113,4 @@ def sample(found: DataFrame, n: int, seed: int = 42, scanned: int = 20_000, buck
     if url is not None:
         return found.where(F.col("url") == url).limit(1)
     rows = found if bucket is None else found.where(F.col("bucket") == bucket)
-    return rows.limit(scanned).orderBy(F.xxhash64("url", F.lit(seed)), "url").limit(n)
+    return rows.limit(scanned).orderBy(_draw(seed), "url").limit(n)

@@ -67,7 +67,10 @@ _LINKS = pa.list_(pa.struct([("target_url", pa.string()), ("anchor_text", pa.str
 
 
 def with_links(pages: DataFrame) -> DataFrame:
-    """pages (url, html, ...) with links, in document order. Row-local; a page that cannot be parsed has none."""
+    """pages (url, html, ...) with links, in document order. Row-local; a page that cannot be parsed has none.
+
+    The parser is marked as not deterministic, so that the optimiser does not repeat it for conditions on its result.
+    """
     ship_package(pages.sparkSession)
 
     @F.arrow_udf(LINKS)
@@ -81,7 +84,7 @@ def with_links(pages: DataFrame) -> DataFrame:
             out.append([{"target_url": t, "anchor_text": a} for t, a in found])
         return pa.array(out, _LINKS)
 
-    return pages.withColumn("links", parse("url", "html"))
+    return pages.withColumn("links", parse.asNondeterministic()("url", "html"))
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -90,15 +93,12 @@ def extract_links(pages: DataFrame) -> DataFrame:
     return linked.select(F.col("url").alias("source_url"), F.posexplode("links").alias("position", "link")).select("source_url", "position", "link.*")
 
 
-def is_excluded(host: Column, excluded: Sequence[str], most: int = 10_000) -> Column:
+def is_excluded(host: Column, excluded: Sequence[str]) -> Column:
     """Whether a host is an excluded domain or below one.
 
-    The suffix test becomes an overlap of the host's suffixes with a constant array: no join, and it is pushed down with the
-    other filters. The list is one of platforms, not data; its length is checked.
+    Each of the host's few suffixes is looked up in a constant set: no join, whatever the length of the list.
     """
-    if len(excluded) > most:
-        raise ValueError(f"more than {most} excluded domains")
-    return F.arrays_overlap(host_suffixes(host), F.array(*[F.lit(d) for d in excluded]).cast("array<string>"))
+    return F.exists(host_suffixes(host), lambda s: s.isin(list(excluded))) if excluded else F.lit(False)
 
 
 def outlink_count(links: Column, excluded: Sequence[str]) -> Column:

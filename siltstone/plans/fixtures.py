@@ -5,7 +5,16 @@ The texts run alike on Spark and DuckDB and hold no operator's logic.
 
 from __future__ import annotations
 
+import gzip
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import run_folder, ship_package
 
 FX_HTML = """
 SELECT page_id,
@@ -53,3 +62,54 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, FX_INDEX, "events")
+
+
+def index_files(spark: SparkSession, sf_dir: str) -> str:
+    """The index fixture as Parquet, a file a part, rows in order; the folder."""
+    place = run_folder(spark, "index")
+    rows = index_rows(spark, sf_dir).coalesce(1).sortWithinPartitions("part", "row_in_part")
+    rows.withColumn("part_no", F.col("part")).drop("part").write.partitionBy("part_no").parquet(place)
+    return place
+
+
+def cdx_files(spark: SparkSession, sf_dir: str) -> str:
+    """The index fixture as captured answers: JSON lines with all fields as text, a file a domain, blank and broken lines between; the folder."""
+    place = run_folder(spark, "answers")
+    rows = index_rows(spark, sf_dir).select(
+        F.col("url_host_registered_domain").alias("domain"), "row_in_part", "url", F.col("content_mime_detected").alias("mime"), F.col("fetch_status").cast("string").alias("status"),
+        F.col("warc_record_length").cast("string").alias("length"), F.col("warc_record_offset").cast("string").alias("offset"), F.col("warc_filename").alias("filename"),
+    )
+    line = F.to_json(F.struct("url", "mime", "status", "length", "offset", "filename"))
+    noisy = F.when(F.col("row_in_part") % 5 == 0, F.concat(line, F.lit("\n\n{broken"))).otherwise(line)
+    rows.coalesce(1).sortWithinPartitions("domain", "row_in_part").select("domain", noisy.alias("value")).write.partitionBy("domain").text(place)
+    return place
+
+
+def warc_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The pages as gzipped WARC records, a file a partition, after a request record each: the root, and url, filename, offset, length, page_id."""
+    place = run_folder(spark, "warc")
+    ship_package(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(place)
+        system.create_dir(base, recursive=True)
+        name, at = f"{uuid.uuid4()}.warc.gz", 0
+        with system.open_output_stream(f"{base}/{name}", compression=None) as out:
+            for b in batches:
+                offsets, lengths = [], []
+                for html in b.column(1).to_pylist():
+                    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (html or "").encode()
+                    record = b"".join(
+                        b"WARC/1.0\r\nWARC-Type: %s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (kind, len(body), body) for kind, body in ((b"request", b"GET / HTTP/1.1\r\n\r\n"), (b"response", http))
+                    )
+                    blob = gzip.compress(record, 1)
+                    out.write(blob)
+                    offsets.append(at)
+                    lengths.append(len(blob))
+                    at += len(blob)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([name] * len(offsets)), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), b.column(2)], ["url", "filename", "offset", "length", "page_id"])
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url", "html", "page_id")
+    listing = run_folder(spark, "warc-listing")
+    pages.mapInArrow(run, "url string, filename string, offset long, length long, page_id long").write.parquet(listing)
+    return place, spark.read.parquet(listing)

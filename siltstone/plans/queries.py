@@ -10,15 +10,19 @@ from ..functions.urls import host_suffixes, in_shard, netloc, url_hash
 from ..operators import dashboard, discover, links, reports, store
 from ..operators.classify import classified, known_categories, signals
 from ..session import run_folder
+from ..sources import index
+from ..sources.candidates import read_candidates, write_candidates
+from ..sources.warc import fetch_pages
 from ..streaming.incremental import discover_by_part
 from . import census, fixtures
-from .budgets import allocate_budget
+from .budgets import allocate_budget, jdbc_options, settings
 from .dims import bucket_frame, country_frame, excluded_domains, tld_buckets
 from .values import COUNTRIES
 
 #: Budgets by bucket for the index fixture: some run out, one does not. Keys are looked up by a domain of the bucket.
 BUDGETS = {tld_buckets()[t]: n for t, n in (("co", 90), ("cl", 100_000), ("ke", 200), ("de", 50), ("com", 120))}
 PER_TLD = 40
+CDX_LIMIT = 3
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,14 +151,18 @@ def discover_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _found(spark, sf_dir)
 
 
-def discover_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parts of the index as files, worked off in order with carried budgets"""
+def _by_part(spark: SparkSession, sf_dir: str, per_tld: int) -> DataFrame:
     place = run_folder(spark, "by-part")
     index = fixtures.index_rows(spark, sf_dir)
     for part in range(8):
         index.where(F.col("part") == part).coalesce(1).write.mode("append").parquet(f"{place}/index")
     schema = index.schema.simpleString()[7:-1].replace(":", " ")
-    return discover_by_part(spark, f"{place}/index", schema, f"{place}/out", BUDGETS, excluded_domains(), 100_000, fixtures.DOMAIN_CAP)
+    return discover_by_part(spark, f"{place}/index", schema, f"{place}/out", BUDGETS, excluded_domains(), per_tld, fixtures.DOMAIN_CAP)
+
+
+def discover_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of the index as files, worked off in order with carried budgets"""
+    return _by_part(spark, sf_dir, 100_000)
 
 
 def budget_shortfall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +259,112 @@ def category_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(c,) for c in known_categories()], "category string")
 
 
+def index_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gzipped listing of parts, some of other subsets"""
+    place = run_folder(spark, "listing")
+    n = F.col("n_nationkey")
+    path = F.concat(F.lit("crawl/subset="), F.when(n % 3 == 0, "robotstxt").otherwise("warc"), F.lit("/part-"), n.cast("string"))
+    spark.read.parquet(f"{sf_dir}/nation.parquet").coalesce(1).sortWithinPartitions("n_nationkey").select(path.alias("value")).write.option("compression", "gzip").text(place)
+    return index.index_parts(spark, place, "https://data.example/")
+
+
+def index_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan with its order, read from files"""
+    rows = discover.fetched_pages(index.scan_index(spark, fixtures.index_files(spark, sf_dir)), ["co", "ke"])
+    return rows.select("url", F.regexp_extract("part", "part_no=([0-9]+)", 1).cast("int").alias("part"), F.col("row_in_part").cast("long").alias("row_in_part"))
+
+
+def cdx_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured answers with blank and broken lines; HTML captures"""
+    rows = index.html_records(index.read_cdx(spark, fixtures.cdx_files(spark, sf_dir)))
+    return rows.select("url", "mime", "status", "length", "offset", "filename")
+
+
+def cdx_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first captures of each of several domains; one has no answer"""
+    place = fixtures.cdx_files(spark, sf_dir)
+    files = sorted({f for f in spark.read.text(place).inputFiles()})
+    asked = [(f.split("domain=")[1].split("/")[0], f) for f in files] + [("none.example", f"{place}/none")]
+    rows = index.html_records(index.read_cdx_domains(spark, asked, CDX_LIMIT))
+    return rows.select("query_domain", "url", "offset")
+
+
+def candidate_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates written as JSON lines, in two goes, and read again"""
+    place, found = run_folder(spark, "candidates"), _found(spark, sf_dir)
+    even = F.col("offset") % 2000 == 0
+    write_candidates(found.where(even), place)
+    write_candidates(found.where(~even), place, append=True)
+    return read_candidates(spark, place)
+
+
+def warc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages from WARC records by byte range; one range of each hundred is wrong"""
+    root, found = fixtures.warc_files(spark, sf_dir)
+    wrong = F.when(F.col("page_id") % 100 == 7, F.lit("missing")).otherwise(F.col("filename"))
+    return fetch_pages(found.withColumn("filename", wrong), root).select("page_id", F.md5("html").alias("html_md5"), "ok")
+
+
+def stored_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages saved twice and links once; ad-hoc SQL over the tables"""
+    kept = store.CensusStore(spark, run_folder(spark, "store"))
+    rows = facts(spark, sf_dir).withColumns({"crawl": F.lit("C"), "timestamp": F.lit("")})
+    kept.save_pages(rows.where("page_id % 2 = 0"))
+    kept.save_pages(rows)
+    kept.save_links(edges(spark, sf_dir))
+    return kept.query(
+        "SELECT p.domain, p.engine_name, count(DISTINCT p.url) AS pages, count(l.target_url) AS links, count(DISTINCT l.target_domain) AS targets "
+        "FROM pages p LEFT JOIN links l ON l.source_url = p.url WHERE p.crawl = ? GROUP BY p.domain, p.engine_name",
+        ["C"],
+    )
+
+
+def domains_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-domain mode from captured answers to stored pages; pages are those of the raw table"""
+    root, records = fixtures.warc_files(spark, sf_dir)
+    place = run_folder(spark, "answers")
+    lines = records.withColumn("domain", netloc(F.col("url"))).select(
+        "domain", "url", F.lit("text/html").alias("mime"), F.lit("200").alias("status"), F.col("length").cast("string").alias("length"), F.col("offset").cast("string").alias("offset"), "filename"
+    )
+    lines.repartition("domain").write.partitionBy("domain").json(place)
+    files = sorted(spark.read.text(place).inputFiles())
+    answers = {f"{f.split('domain=')[1].split('/')[0]}/*": f for f in files}
+    domains = lines.select("domain").distinct().unionByName(spark.createDataFrame([("facebook.com",), (" ",), ("none.example",)], "domain string"))
+    kept = store.CensusStore(spark, run_folder(spark, "store"))
+    census.run_domains(domains, answers, kept, root, "C", 1_000_000)
+    return kept.pages.select("url", "domain", "crawl", "timestamp", "tld", "country", "bucket", "outlink_count")
+
+
+def input_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What to ask the index for"""
+    hosts = fixtures.index_rows(spark, sf_dir).select(F.col("url_host_registered_domain").alias("domain")).distinct()
+    hosts = hosts.unionByName(hosts.select(F.concat(F.lit(" *."), "domain").alias("domain"))).unionByName(hosts.select(F.lit(" ").alias("domain")))
+    return census.input_patterns(hosts)
+
+
+def discover_per_part_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part by part under a fair-share cap, which counts rows before exclusions and domain caps"""
+    return _by_part(spark, sf_dir, PER_TLD)
+
+
+def exclusion_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed list and one of the caller's"""
+    more = [f" {r.host.upper()}" for r in fixtures.index_rows(spark, sf_dir).select(F.col("url_host_registered_domain").alias("host")).distinct().collect()]
+    return spark.createDataFrame([(d,) for d in excluded_domains(excluded_domains(), more)], "domain string")
+
+
+def dsn_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F19"""
+    got = jdbc_options("mysql+pymysql://reader:a%2Fb%3A1@db.internal.test/census")
+    return spark.createDataFrame([(got["url"], got["user"], got["password"])], "url string, user string, password string")
+
+
+def merged_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File, then environment, then what is given"""
+    got = settings({"comment_x": 1, "_note": 2, "crawl": "file", "total_limit": 5, "shard": "0/2"}, {"PIPELINE_CRAWL": "env", "PIPELINE_TOTAL_LIMIT": "7", "OTHER": "x"}, crawl="given", shard=None)
+    return spark.createDataFrame(sorted((k, str(v)) for k, v in got.items()), "name string, value string")
+
+
 def budget_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F16 F17"""
     return spark.createDataFrame(list(allocate_budget({"ru": 3, "de": 2, "fr": 1, "us": 1}, 1000).items()), "tld string, budget long")
@@ -261,7 +375,8 @@ QUERIES = {
     for f in (
         classify_pages, extract_generator, page_facts, domain_mode_facts, link_facts, links_excluded, host_parts, dash_totals, dash_categories, dash_platforms, dash_dominant, dash_bucket_domains,
         dash_bucket_top5, dash_doc, index_filter, fair_share, discover_global, discover_per_part, budget_shortfall, candidates_by_bucket, candidate_total, shard_slice, resume_anti, merge_first_wins,
-        migrated_pages, url_hashes, part_stride, error_histogram, repair_parts, preview_rows, preview_sample, shuffled_candidates, dim_tlds, category_list, budget_split,
+        migrated_pages, url_hashes, part_stride, error_histogram, repair_parts, preview_rows, preview_sample, shuffled_candidates, dim_tlds, category_list, budget_split, index_listing, index_scan, cdx_records,
+        cdx_domains, candidate_file, warc_pages, stored_census, domains_mode, input_patterns, discover_per_part_capped, exclusion_list, dsn_parts, merged_settings,
     )
 } | {f"report_{n.replace('-', '_')}": (_link_report if n in LINK_REPORTS else _page_report)(n) for n in reports.REPORTS}
 
@@ -403,6 +518,42 @@ LEFT JOIN (SELECT bucket, string_agg(engine_name || '=' || n, ';' ORDER BY place
             r"""SELECT url, engine_category, engine_name, signal, left(trim(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title', 1)), 90) AS title, left(gen, 60) AS generator, CAST(length(html) AS INTEGER) AS html_length,
  left(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->|<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), '\s+', ' ', 'g')), 400) AS snippet FROM pf"""
         ),
+        "preview_sample": scan(f"SELECT url, bucket FROM found WHERE bucket = {_text(tld_buckets()['cl'])} ORDER BY md5('42|' || url), url LIMIT 10"),
+        # CRC-32 bit by bit
+        "shard_slice": scan(
+            """SELECT url FROM fx WHERE xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(url) + 1), lambda i: ascii(url[i])::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda a, k: xor(a >> 1, 3988292384 * (a & 1))))) % 4 = 1"""
+        ),
+        "index_listing": "SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS ordinal, 'https://data.example/crawl/subset=warc/part-' || n_nationkey AS part_url FROM nation WHERE n_nationkey % 3 <> 0",
+        "index_scan": scan(
+            "SELECT url, CAST(part AS INTEGER) AS part, place AS row_in_part FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY row_in_part) - 1 AS place FROM fx) WHERE fetch_status = 200 AND content_mime_detected = 'text/html' AND url_host_tld IN ('co', 'ke')"
+        ),
+        "cdx_records": scan(
+            'SELECT url, content_mime_detected AS mime, CAST(fetch_status AS VARCHAR) AS status, CAST(warc_record_length AS BIGINT) AS length, CAST(warc_record_offset AS BIGINT) AS "offset", warc_filename AS filename FROM ok'
+        ),
+        "cdx_domains": scan(
+            f'SELECT query_domain, url, CAST(warc_record_offset AS BIGINT) AS "offset" FROM (SELECT *, url_host_registered_domain AS query_domain, row_number() OVER (PARTITION BY url_host_registered_domain ORDER BY row_in_part) AS n FROM fx) WHERE n <= {CDX_LIMIT} AND fetch_status = 200 AND content_mime_detected = \'text/html\''
+        ),
+        "candidate_file": scan(discovered),
+        "warc_pages": "SELECT page_id, CASE WHEN page_id % 100 <> 7 THEN md5(coalesce(html, '')) END AS html_md5, page_id % 100 <> 7 AS ok FROM pages",
+        "stored_census": pages(
+            "SELECT p.domain, p.engine_name, count(DISTINCT p.url) AS pages, count(lf.target_url) AS links, count(DISTINCT lf.target_domain) AS targets FROM pf p LEFT JOIN lf ON lf.source_url = p.url GROUP BY p.domain, p.engine_name"
+        ),
+        "domains_mode": "SELECT DISTINCT url, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1)) AS domain, 'C' AS crawl, '' AS timestamp, CAST(NULL AS VARCHAR) AS tld, CAST(NULL AS VARCHAR) AS country, CAST(NULL AS VARCHAR) AS bucket, CAST(NULL AS INTEGER) AS outlink_count FROM pages",
+        "input_patterns": scan(
+            "SELECT domain, CASE WHEN contains(domain, '*') THEN domain ELSE domain || '/*' END AS pattern FROM (SELECT DISTINCT p || url_host_registered_domain AS domain FROM fx, (VALUES (''), ('*.')) v(p)) d WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE d.domain = b.domain OR ends_with(d.domain, '.' || b.domain))"
+        ),
+        "discover_per_part_capped": scan(
+            f""", fair AS (SELECT ok.*, row_number() OVER (PARTITION BY part, url_host_tld ORDER BY row_in_part) AS rf FROM ok),
+shared AS (SELECT f.*, b.bucket, budget FROM fair f JOIN bucket_of b ON b.tld = url_host_tld JOIN budget_of g ON g.bucket = b.bucket WHERE rf <= {PER_TLD}
+  AND NOT EXISTS (SELECT 1 FROM bad WHERE url_host_registered_domain = bad.domain OR ends_with(url_host_registered_domain, '.' || bad.domain))),
+once AS (SELECT *, row_number() OVER (PARTITION BY url_host_registered_domain ORDER BY part, row_in_part) AS rd FROM shared),
+kept AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY part, row_in_part) AS rc FROM once WHERE rd <= {fixtures.DOMAIN_CAP})
+SELECT url, url_host_tld, url_host_registered_domain, bucket, warc_filename AS filename, CAST(warc_record_offset AS BIGINT) AS "offset", CAST(warc_record_length AS BIGINT) AS length FROM kept WHERE rc <= budget"""
+        ),
+        "exclusion_list": scan("SELECT domain FROM bad UNION SELECT url_host_registered_domain FROM fx"),
+        "dsn_parts": "SELECT 'jdbc:mysql://db.internal.test:3306/census' AS url, 'reader' AS user, 'a/b:1' AS password",
+        "merged_settings": "SELECT * FROM (VALUES ('crawl', 'given'), ('shard', '0/2'), ('total_limit', '7')) v(name, value)",
         "shuffled_candidates": scan("SELECT url FROM found"),
         "dim_tlds": f"SELECT b.tld, bucket, coalesce(name, upper(b.tld)) AS country FROM (VALUES {_values(sorted(tld_buckets().items()))}) b(tld, bucket) LEFT JOIN (VALUES {_values(sorted(COUNTRIES.items()))}) c(tld, name) ON c.tld = b.tld",
         "category_list": f"SELECT DISTINCT category FROM (VALUES {_values([(c,) for _, _, c, _ in order])}) v(category)",

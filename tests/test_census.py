@@ -267,3 +267,158 @@ def test_command_line(spark, tmp_path):
     assert [r.title for r in seen.collect()] == ["T"] and (tmp_path / "html/preview_1.html").exists()
     with pytest.raises(SystemExit):
         budgets_of({})
+
+
+# --- plans: what runs once, and what reaches the scan ----------------------------------------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_are_parsed_and_classified_once(spark):
+    from siltstone.plans.queries import QUERIES
+
+    for name, most in (("link_facts", 1), ("report_engine_share_by_bucket", 1), ("report_platform_sites", 1), ("report_top_domains", 1), ("page_facts", 2)):
+        optimised, _ = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert optimised.count("ArrowEvalPython") == most, (name, optimised)
+
+
+def test_discovery_scans_only_domains_with_a_budget(spark, tmp_path):
+    index_frame(spark, [(0, 0, "d1.co")]).drop("part", "row_in_part").write.parquet(f"{tmp_path}/index")
+    found = discover.discover(index.scan_index(spark, f"{tmp_path}/index"), {CO: 2}, excluded_domains(), 1)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    _, physical = plan_of(found)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [line for line in physical.splitlines() if "PushedFilters" in line]
+    assert pushed and all("EqualTo(fetch_status,200)" in line and "url_host_tld" in line.split("PushedFilters")[1].split("ReadSchema")[0] for line in pushed)
+    assert found.count() == 1
+
+
+def test_rows_without_a_domain_share_one_cap(spark):
+    rows = spark.createDataFrame([(0, i, f"u{i}", t, None, 200, "text/html", "f", i, 1) for i, t in enumerate(["co", "co", "ke", "ke"])], INDEX)
+    assert discover.discover(rows, {CO: 9, tld_buckets()["ke"]: 9}, excluded_domains(), 3).count() == 3
+
+
+def test_by_part_stops_when_budgets_are_used_up(spark, tmp_path):
+    for part in range(3):
+        index_frame(spark, [(part, i, f"d{i}.co") for i in range(3)]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/index")
+    out = f"{tmp_path}/out"
+    assert discover_by_part(spark, f"{tmp_path}/index", INDEX, out, {CO: 4}, excluded_domains(), max_per_domain=9).count() == 4
+    assert sorted(p.name for p in (tmp_path / "out/left").iterdir()) == ["batch=0", "batch=1", "batch=2"]
+    assert sorted(p.name for p in (tmp_path / "out/candidates").iterdir()) == ["batch=0", "batch=1"]  # the third part was not read
+    assert discover_by_part(spark, f"{tmp_path}/index", INDEX, f"{tmp_path}/none", {CO: 0}, excluded_domains()).count() == 0
+
+
+# --- stores, modes and options ---------------------------------------------------------------------
+
+
+def test_long_exclusion_lists(spark):
+    rows = spark.createDataFrame([("x.d9999.com",), ("e.com",)], "h string")
+    assert [r.h for r in without_excluded(rows, "h", [f"d{i}.com" for i in range(20_000)]).collect()] == ["e.com"]
+    assert without_excluded(rows, "h", []).count() == 2
+
+
+def test_custom_footprints(spark, tmp_path):
+    from siltstone.operators.classify import load_engines
+
+    (tmp_path / "f.json").write_text(json.dumps({"comment": "x", "engines": [{"category": "Wiki", "name": "Own", "html_contains": ["MyWiki"]}, {"category": "Wiki", "name": "Late", "generator": ["own"], "url_path_contains": ["/w/"]}]}))
+    engines = load_engines(f"{tmp_path}/f.json")
+    rows = spark.createDataFrame([("1", "a mywiki page", "http://x/w/"), ("2", "", "http://x/W/"), ("3", '<meta name="generator" content="OWN 1">', "http://x/"), ("4", "Powered by phpBB", "")], "k string, html string, url string")
+    got = {r.k: (r.engine_name, r.signal) for r in classified(rows, engines).collect()}
+    assert got == {"1": ("Own", "html:mywiki"), "2": ("Late", "url:/w/"), "3": ("Late", "generator:own"), "4": (None, None)}
+
+
+def test_store_in_a_database(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    s = store.JdbcStore(spark, {"url": url, "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "pushDownPredicate": "false"}, fetch_size=10)  # Derby cannot compare CLOBs
+    assert s.pages.count() == s.links.count() == 0
+    p = page(spark, ("u1", "a", "c", ""), ("u1", "b", "c", ""), ("u2", None, "c", "", "co", None, None, "CMS", "X", 3))
+    s.save_pages(p)
+    s.save_pages(p)
+    assert sorted((r.url, r.domain, r.outlink_count) for r in s.pages.collect()) == [("u1", "a", None), ("u2", "", 3)]
+    s.save_links(spark.createDataFrame([("u1", "https://Target.test/x", "t")], "source_url string, target_url string, anchor_text string"))
+    assert s.query("SELECT l.target_domain FROM pages p JOIN links l ON p.url = l.source_url WHERE p.url = ?", ["u1"]).first()[0] == "target.test"
+    target = store.CensusStore(spark, f"{tmp_path}/target")
+    assert store.migrate(s.pages, target) == {"source": 2, "attempted": 2, "total": 2}
+    assert store.migrate(s.pages, target) == {"source": 2, "attempted": 2, "total": 2}
+
+
+def test_choice_of_store(spark, tmp_path):
+    assert isinstance(store.open_store(spark, "x"), store.CensusStore)
+    mysql = store.open_store(spark, "", environ={"DB_BACKEND": " MySQL ", "MYSQL_DSN": "mysql://a:b@h/d"})
+    assert isinstance(mysql, store.JdbcStore) and mysql.options["url"] == "jdbc:mysql://h:3306/d" and mysql.options["fetchsize"] == "10000"
+    for backend in ("mysql", "oracle"):
+        with pytest.raises(ValueError):
+            store.open_store(spark, "x", backend)
+
+
+def test_domains_mode_end_to_end(spark, tmp_path):
+    from siltstone.cli import main
+
+    bodies = {"http://a.co/": b"<p>Powered by phpBB <a href='https://t.org/'>t</a><a href='https://x.com/'>no</a>", "http://a.co/2": b"plain", "http://a.co/3": b"late"}
+    data, lines = b"", []
+    for url, body in bodies.items():
+        rec = record(body)
+        lines.append(json.dumps({"url": url, "status": "200", "mime": "text/html", "offset": str(len(data)), "length": str(len(rec)), "filename": "f.warc.gz"}))
+        data += rec
+    (tmp_path / "f.warc.gz").write_bytes(data)
+    (tmp_path / "answers").mkdir()
+    (tmp_path / "answers" / "a.co__").write_text("\n".join(lines))
+    args = ["domains", "--domains", "a.co", "facebook.com", "gone.co", "--answers", f"{tmp_path}/answers", "--warc-root", f"file://{tmp_path}", "--crawl", "C", "--limit", "2", "--store", f"{tmp_path}/store"]
+    for _ in range(2):
+        assert main(args, spark).count() == 0  # no errors
+    s = store.CensusStore(spark, f"{tmp_path}/store")
+    assert sorted((r.url, r.engine_name, r.tld, r.outlink_count, r.crawl) for r in s.pages.collect()) == [("http://a.co/", "phpBB", None, None, "C"), ("http://a.co/2", None, None, None, "C")]
+    assert {r.target_url for r in s.links.collect()} == {"https://t.org/"}
+
+
+def test_more_commands(spark, tmp_path, monkeypatch):
+    from siltstone.cli import budgets_of, main
+
+    rec = record(b"Powered by phpBB")
+    (tmp_path / "f").write_bytes(rec)
+    rows = [(f"http://{d}/", "co", d, 200, "text/html", "f", 0, len(rec)) for d in ("a.co", "b.co")]
+    for r in rows:
+        spark.createDataFrame([r], index.INDEX).coalesce(1).write.mode("append").parquet(f"{tmp_path}/index")
+    monkeypatch.setenv("PIPELINE_TOTAL_LIMIT", "9")
+    monkeypatch.setenv("PIPELINE_COUNTRIES", "co cl")
+    monkeypatch.setenv("PIPELINE_CRAWL", "FROM-ENV")
+    common = ["countries", "--index", f"{tmp_path}/index", "--candidates-file", f"{tmp_path}/found", "--warc-root", f"file://{tmp_path}", "--store", f"{tmp_path}/store"]
+    assert [tuple(r) for r in main([*common, "--discovery-only", "--max-parts", "1"], spark).collect()] == [("co", 1)]
+    main([*common, "--skip-discovery"], spark)
+    assert store.CensusStore(spark, f"{tmp_path}/store").pages.count() == 1
+    main([*common, "--store-links"], spark)
+    assert {r.crawl for r in store.CensusStore(spark, f"{tmp_path}/store").pages.collect()} == {"FROM-ENV"}
+    assert tuple(main(["migrate", "--source", f"{tmp_path}/store", "--store", f"{tmp_path}/copy"], spark).first()) == (2, 2, 2)
+    assert budgets_of({"countries": "DE,fr", "per_country_limit": 7})[0] == {"de": 7, "fr": 7}
+    (tmp_path / "log").write_text("10:00 skip part 2: timeout\nok\n10:01 skip part 9: x\n")
+    (tmp_path / "state.json").write_text(json.dumps({"scanned_parts": [1, 2, 3], "remaining": {"a": 1}}))
+    assert tuple(main(["repair", "--log", f"{tmp_path}/log", "--state", f"{tmp_path}/state.json"], spark).first()) == (2, 3, 2)
+    assert json.loads((tmp_path / "state.json").read_text()) == {"scanned_parts": [1, 3], "remaining": {"a": 1}}
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from siltstone import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        class _jsc:  # noqa: N801
+            @staticmethod
+            def sc():
+                return Context
+
+        class getCheckpointDir:  # noqa: N801
+            @staticmethod
+            def isDefined():  # noqa: N802
+                return False
+
+    class Session:
+        sparkContext = Context  # noqa: N815
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda k, d: d)
+
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        session.shared_dir(Session)
