@@ -37,7 +37,7 @@ from .common import materialised, run_folder, shuffle_partitions, text_or_empty
 #: The ASCII white space that normalisation deletes.
 DELETED = " \t\n\x0b\x0c\r"
 CELLS = 1 << 18
-HOT, HOT_GROUPS = 20_000, 10_000
+HOT, HOT_GROUPS = 500, 10_000
 
 
 def normalised(text: Column) -> Column:
