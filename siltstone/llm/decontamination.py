@@ -3,19 +3,21 @@
 An item matches a document if some run of the document's words is within ``floor((1 - similarity) * n)`` word edits of the
 item's n words (words: lower case, split at ASCII white space and marks).
 
-1. Seeds. An item cut into k + 1 pieces has one piece untouched by k edits, so a matching document holds one of its pieces
-   word for word, with at least n - k of the item's words around it. Only such places go further; nothing that matches is lost.
+1. Places. An item cut into k + 1 pieces has one piece untouched by k edits, so a matching document holds one of its pieces
+   word for word, with at least n - k of the item's words around it. This is an exact bound, not a search: item-sized windows are only
+   embedded where it does not rule a match out, and nothing that matches is lost.
 2. CGK embedding. A random walk copies the current word and moves on or stays by a random bit for
    (step, word); all windows and items share the bits, so windows within few edits fall into step and agree at most
-   positions: edit distance becomes Hamming distance. Windows have the item's size and start where the seed aligns.
+   positions: edit distance becomes Hamming distance. Windows have the item's size and start at every shift within the budget.
 3. Bit sampling. Each repetition has a walk of its own and compares windows at a few sampled positions, an LSH
-   band for the Hamming distance. The number of repetitions is set on the items themselves, edited at random at the full
-   budget, so that the estimated recall reaches ``recall``.
+   band for the Hamming distance. The number of repetitions is set for each item size, on items of that size edited at random at the
+   full budget, so that a single window at the right start already reaches ``recall``. A size that does not get there within
+   ``most`` repetitions is not filtered at all: each of its places is verified.
 4. Windows that agree with their item in any repetition are verified: exact edit distance of the item to the best
    run of words in the region.
 
-Items and what is built from them are broadcast: their size is the benchmark's, checked against ``max_items``, and does not grow
-with the documents. Null and empty texts match nothing, as do items without words. Repeated rows are searched each. Empty tables
+Items and what is built from them are broadcast: their size is the benchmark's and does not grow with the documents. A benchmark of more than
+``max_items`` different items is searched in parts, one after the other. Null and empty texts match nothing, as do items without words. Repeated rows are searched each. Empty tables
 give empty results.
 """
 
@@ -24,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -87,7 +90,7 @@ def best_run(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
 class Index:
     """Seeds, walks and samples of the items."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float, recall: float, sampled: int = 2, max_repetitions: int = 64, seed: int = 7):
+    def __init__(self, items: list[tuple[int, str]], similarity: float, recall: float, sampled: int = 2, most: int = 512, seed: int = 7):
         self.items, self.vocabulary = [], {}
         for item_id, text in items:
             if words := words_of(text or ""):
@@ -106,15 +109,17 @@ class Index:
         for g, p in self.pieces.items():
             self.filters[g] = bits = np.zeros(1 << 20, bool)
             bits[np.array(list(p), np.uint64) >> np.uint64(44)] = True
-        self.most, self._sampled = max_repetitions, {}
-        self.repetitions = self._calibrate(recall)
+        self.most, self._sampled = most, {}
         self.keys: dict[int, np.ndarray] = {}
         sizes: dict[int, list[int]] = defaultdict(list)
         for k, (_, ids, _b) in enumerate(self.items):
             sizes[len(ids)].append(k)
-        for group in sizes.values():
-            rows = np.stack([self.items[k][1] for k in group])
-            self.keys |= dict(zip(group, self._bits(rows, self.repetitions), strict=True))
+        #: Item size -> repetitions; none: every place is verified.
+        self.repetitions: dict[int, int | None] = {n: self._calibrate([self.items[k] for k in group], recall) for n, group in sizes.items()}
+        for n, group in sizes.items():
+            if self.repetitions[n]:
+                rows = np.stack([self.items[k][1] for k in group])
+                self.keys |= dict(zip(group, self._bits(rows, 0, self.repetitions[n]), strict=True))
 
     @staticmethod
     def _grams(codes: np.ndarray, g: int) -> np.ndarray:
@@ -126,30 +131,36 @@ class Index:
             h += codes[i : n + i]
         return h
 
-    def _positions(self, size: int, repetitions: int) -> np.ndarray:
+    def _positions(self, size: int) -> np.ndarray:
         """(repetition, sample): steps to compare. A walk of 2 * size steps nearly always passes the whole window."""
         if size not in self._sampled:
             rng = np.random.default_rng([self.seed, size])
             self._sampled[size] = np.sort(rng.permuted(np.tile(np.arange(2 * size), (self.most, 1)), axis=1)[:, : self.sampled], axis=1)
-        return self._sampled[size][:repetitions]
+        return self._sampled[size]
 
-    def _bits(self, rows: np.ndarray, repetitions: int) -> np.ndarray:
-        """(row, repetition, sample)"""
-        positions = self._positions(rows.shape[1], repetitions)
-        walks = cgk(rows, int(positions.max()) + 1, self.seed * 1000 + np.arange(repetitions))
+    def _bits(self, rows: np.ndarray, first: int, last: int) -> np.ndarray:
+        """(row, repetition, sample) of the repetitions first to last."""
+        positions = self._positions(rows.shape[1])[first:last]
+        walks = cgk(rows, int(positions.max()) + 1, self.seed * 1000 + np.arange(first, last))
         return np.take_along_axis(walks, np.broadcast_to(positions, (len(rows), *positions.shape)), axis=2)
 
-    def _calibrate(self, recall: float, sizes: int = 8, trials: int = 32) -> int:
-        """Repetitions so that the mean probability over edited items of agreeing at least once reaches recall."""
-        by_size: dict[int, tuple[np.ndarray, int]] = {len(ids): (ids, budget) for _, ids, budget in self.items if budget}
-        if not by_size:
-            return 1
-        rng = np.random.default_rng(self.seed)
-        chosen = [by_size[n] for n in sorted(by_size)[:: -(-len(by_size) // sizes)]]
-        edited = [np.stack([self._edited(ids, budget, rng) for _ in range(trials)]) for ids, budget in chosen]
-        agreed = np.concatenate([(self._bits(e, self.most) == self._bits(ids[None, :], self.most)).all(axis=2) for e, (ids, _) in zip(edited, chosen, strict=True)])
-        reached = np.flatnonzero(np.logical_or.accumulate(agreed, axis=1).mean(axis=0) >= recall)
-        return int(reached[0]) + 1 if len(reached) else self.most
+    def _calibrate(self, items: list[tuple], recall: float, trials: int = 400, step: int = 32) -> int | None:
+        """Repetitions after which so large a share of edited items of one size agrees with its item at least once."""
+        if not items[0][2]:
+            return 1  # no edits: equal windows agree at once
+        rng = np.random.default_rng([self.seed, len(items[0][1])])
+        chosen = [items[i % len(items)] for i in range(trials)]
+        edited = np.stack([self._edited(ids, budget, rng) for _, ids, budget in chosen])
+        plain = np.stack([ids for _, ids, _ in chosen])
+        missed, done = np.ones(trials, bool), 0
+        while done < self.most:
+            agreed = (self._bits(edited[missed], done, done + step) == self._bits(plain[missed], done, done + step)).all(axis=2)
+            reached = 1 - (missed.sum() - np.logical_or.accumulate(agreed, axis=1).sum(axis=0)) / trials
+            if (reached >= recall).any():
+                return done + int(np.argmax(reached >= recall)) + 1
+            missed[np.flatnonzero(missed)[agreed.any(axis=1)]] = False
+            done += step
+        return None
 
     @staticmethod
     def _edited(ids: np.ndarray, budget: int, rng: np.random.Generator) -> np.ndarray:
@@ -195,7 +206,8 @@ class Index:
             at = at[(at > -n) & (at < len(ids))]
             padded = np.concatenate((np.zeros(n, np.int64), ids, np.zeros(n, np.int64)))
             rows = padded[(at + n)[:, None] + np.arange(n)]
-            near = (self._bits(rows, self.repetitions) == self.keys[k]).all(axis=2).any(axis=1)
+            repetitions = self.repetitions[n]
+            near = (self._bits(rows, 0, repetitions) == self.keys[k]).all(axis=2).any(axis=1) if repetitions else np.ones(len(at), bool)
             best = None
             for a, b in _regions(at[near] - budget, n + 2 * budget, len(ids)):
                 d, s, e = best_run(item, ids[a:b])
@@ -218,19 +230,29 @@ def _regions(starts: np.ndarray, size: int, n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def build_index(benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, max_items: int = 100_000) -> Index:
-    items = benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text").limit(max_items + 1).collect()
-    if len(items) > max_items:
-        raise ValueError(f"more than {max_items} benchmark items: split the benchmark and run once for each part")
-    return Index([(r[0], r[1]) for r in items], similarity, recall)
+def build_indexes(benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, max_items: int = 100_000) -> Iterator[Index]:
+    """One index for each part of at most about max_items different items."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    n = items.count()
+    parts = 1 if n <= max_items else -(-2 * n // max_items)
+    for part in range(parts):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()  # about max_items / 2 of several parts
+        yield Index(sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")), similarity, recall)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, max_items: int = 100_000) -> DataFrame:
     """doc_id, item_id, span_start, span_end (code points of the source text), distance, item_words: a row for each
-    document row and item that match, with the closest passage."""
+    document row and item that match, with the closest passage. Items that repeat id and text count once."""
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(build_index(benchmark, similarity, recall))
+    ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    found = [ready.mapInArrow(_find(docs.sparkSession.sparkContext.broadcast(index)), LEAK) for index in build_indexes(benchmark, similarity, recall, max_items)]
+    return reduce(DataFrame.unionAll, found)
+
+
+LEAK = "doc_id long, item_id long, span_start long, span_end long, distance long, item_words long"
+
 
+def _find(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         sizes = {i: len(w) for i, w, _ in index.items}
@@ -243,22 +265,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, r
                     rows += [(doc_id, i, at[a][0] if a < e else 0, at[e - 1][1] if a < e else 0, d, sizes[i]) for i, a, e, d in hits]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 6, names)
 
-    ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return ready.mapInArrow(run, "doc_id long, item_id long, span_start long, span_end long, distance long, item_words long")
+    return run
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, max_items: int = 100_000) -> DataFrame:
     """docs without the rows that match any item. Row-local: no shuffle."""
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(build_index(benchmark, similarity, recall))
     text = free_name(docs.columns, "searched_text")
     ready = docs.withColumn(text, text_or_empty())
-    at, schema = ready.columns.index(text), docs.schema
+    for index in build_indexes(benchmark, similarity, recall, max_items):
+        ready = ready.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(index), ready.columns.index(text)), ready.schema)
+    return ready.select(*[F.col(f"`{c}`") for c in docs.columns])
+
 
+def _clean(shared, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            clean = b.filter(pa.array([not shared.value.search(t.as_py()) for t in b.column(at)], pa.bool_()))
-            yield pa.RecordBatch.from_arrays([clean.column(i) for i in range(clean.num_columns) if i != at], [f.name for f in schema.fields])
-
-    return ready.mapInArrow(run, schema)
+            yield b.filter(pa.array([not shared.value.search(t.as_py()) for t in b.column(at)], pa.bool_()))
 
+    return run
