@@ -5,6 +5,7 @@ A text's terms are trigrams of character classes (lower, upper, digit, space, li
 and projected onto the leading singular vectors of the labelled texts (latent semantic analysis). The labelled
 vectors are broadcast: at most ``max_labelled`` of them, whatever the input. Every text then gets the
 exact cosine with every labelled vector, in blocks of matrix products, and its ``neighbours`` nearest vote with their similarity as weight.
+Similarities are rounded to nine places, so that they do not depend on the blocks; neighbours that tie with the last one vote too.
 
 Training reads labels of rows outside the held-out quarter only, and at most ``max_labelled`` of them (those whose MD5
 of doc_id is smallest, one text each: a bounded sample, the same in every run); everything else covers all rows and whole texts.
@@ -88,28 +89,36 @@ class Model:
         self.idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
         w = x * self.idf
         values, vectors = np.linalg.eigh(w.T @ w)
-        self.basis = vectors[:, ::-1][:, :rank].astype(np.float32)
-        self.known = self._unit(w @ self.basis)
-        self.y = y.astype(np.float32)
+        self.basis = vectors[:, ::-1][:, :rank].astype(np.float64)
+        self.known = self._unit(w.astype(np.float64) @ self.basis)
+        self.y = y.astype(np.float64)
 
     @staticmethod
     def _unit(v: np.ndarray) -> np.ndarray:
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
+    def _vote(self, cosine: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Mean label of each row's neighbours, with the similarity as weight: sharpened, so that the nearest count most."""
+        weight = np.maximum(cosine, 0.0) ** 8
+        total = weight.sum(axis=1)
+        return np.where(total > 0, np.round((weight * y).sum(axis=1) / np.maximum(total, 1e-300), 9), self.prior)
+
     def scores(self, x: np.ndarray, block: int = 512) -> np.ndarray:
         out = np.full(len(x), self.prior)
         if not len(self.y):
             return out
         k = min(self.neighbours, len(self.y))
         for at in range(0, len(x), block):
-            v = self._unit(x[at : at + block] * self.idf @ self.basis)
-            cosine = v @ self.known.T
-            near = np.argpartition(cosine, -k, axis=1)[:, -k:]
-            # similarity as weight: sharpened, so that the nearest count most
-            weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0.0).astype(np.float64) ** 8
-            total = weight.sum(axis=1)
-            vote = (weight * self.y[near]).sum(axis=1)
-            out[at : at + block] = np.where(total > 0, vote / np.maximum(total, 1e-300), self.prior)
+            v = self._unit((x[at : at + block] * self.idf).astype(np.float64) @ self.basis)
+            cosine = np.round(v @ self.known.T, 9)
+            near = np.sort(np.argpartition(cosine, -k, axis=1)[:, -k:], axis=1)
+            own = np.take_along_axis(cosine, near, axis=1)
+            votes = self._vote(own, self.y[near])
+            last = own.min(axis=1, keepdims=True)
+            for i in np.flatnonzero((cosine >= last).sum(axis=1) > k).tolist():
+                tied = cosine[i] >= last[i]
+                votes[i] = self._vote(cosine[i][None, tied], self.y[None, tied])[0]
+            out[at : at + block] = votes
         return np.clip(out, 0.0, 1.0)
 
 
