@@ -111,10 +111,10 @@ def choose_words(texts: list[set[bytes]], labels: np.ndarray, min_docs: int, max
     return {common[i]: k for k, i in enumerate(order)}
 
 
-def fit_chain(texts: list[bytes], labels: np.ndarray, categories: list[str], folds: int = 3, min_docs: int = 3, max_words: int = 30_000, least: float = 3.5) -> Chain:
+def fit_chain(texts: list[bytes | set[bytes]], labels: np.ndarray, categories: list[str], folds: int = 3, min_docs: int = 3, max_words: int = 30_000, least: float = 3.5) -> Chain:
     if not texts:
         return Chain({}, [np.zeros(k + 1) for k in range(len(categories))], categories)
-    sets = [word_set(t) for t in texts]
+    sets = [t if isinstance(t, set) else word_set(t) for t in texts]
     vocabulary = choose_words(sets, labels, min_docs, max_words, least)
     x = Rows([np.array([vocabulary[w] for w in s if w in vocabulary], np.int64) for s in sets], len(vocabulary))
     fold = np.arange(len(texts)) % folds
@@ -133,8 +133,16 @@ def fit_chain(texts: list[bytes], labels: np.ndarray, categories: list[str], fol
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, categories: list[str], max_labelled: int = 8_000) -> Chain:
-    rows = labelled_rows(docs, labels, categories, max_labelled).select("doc_id", F.encode("text", "UTF-8").alias("text"), *categories)
-    got = sorted(((r[0], bytes(r[1]), tuple(r[2:])) for r in rows.toLocalIterator()), key=lambda r: r[:2])
+    """Learns from at most max_labelled rows, of which the driver gets the distinct words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = pa.array([sorted(word_set(t.as_py())) for t in b.column(1).cast(pa.binary())], pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([b.column(0), words, *b.columns[2:]], ["doc_id", "words", *categories])
+
+    rows = labelled_rows(docs, labels, categories, max_labelled).select(F.col("doc_id").cast("long"), "text", *[F.col(f"`{c}`").cast("int") for c in categories])
+    sent = rows.mapInArrow(run, ", ".join(["doc_id long, words array<binary>", *[f"`{c}` int" for c in categories]]))
+    got = sorted(((r[0], {bytes(w) for w in r[1]}, tuple(r[2:])) for r in sent.toLocalIterator()), key=lambda r: r[0])  # one row a doc_id
     return fit_chain([r[1] for r in got], np.array([r[2] for r in got]).reshape(len(got), len(categories)), categories)
 
 
