@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import run_folder, shared_dir, ship_package  # noqa: F401
 
@@ -51,3 +52,24 @@ def free_name(columns: list[str], wanted: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def prefix_sums(rows: DataFrame, order: list[Column], sums: dict[str, str], group: list[str] | None = None) -> DataFrame:
+    """rows with the sums of columns over all rows before, in an order without ties: sums maps a new column to the one that it sums.
+
+    Rows are range-partitioned by group and order and written once; each partition sums on its own, starting from the sums of the
+    partitions before. So no task holds a group, only its part, and a row for each partition.
+    """
+    group = group or []
+    spread = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *[F.col(g).asc_nulls_last() for g in group], *order)
+    spread = materialised(spread.withColumn("_part", F.spark_partition_id()))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    totals = spread.groupBy(*group, "_part").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    earlier = before(Window.partitionBy(*group).orderBy("_part"))
+    starts = totals.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_part").alias("_of"), *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
+    same = spread["_part"] == starts["_of"]
+    for g in group:
+        same &= spread[g].eqNullSafe(starts[f"_{g}"])
+    inside = before(Window.partitionBy("_part", *group).orderBy(*order))
+    met = spread.join(starts if group else F.broadcast(starts), same)  # without groups: a row a partition
+    return met.select(*rows.columns, *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_{n}")).alias(n) for n, c in sums.items()])

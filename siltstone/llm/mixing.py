@@ -3,7 +3,7 @@
 Every row gets a hash-random key. Rows are grouped by (source, key), so repeated rows share a group and
 a hot source is pre-aggregated; groups are dealt into cells of the key's leading digits, cell sums give the offset of
 every cell within its source, and a window inside each cell finishes the prefix sum of sizes. No task
-holds a source: it holds one cell. Each source is cut where its prefix sum passes its exact budget; budgets over a
+holds a source or all of its cells, nor the list of sources: prefix sums over cells and over sources are range-partitioned. Each source is cut where its prefix sum passes its exact budget; budgets over a
 source's size take whole epochs first and cut the last one.
 
 Targets: all sizes together are shared by weight (sources by code point, null last, weigh ``weights`` in
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, free_name, materialised, text_or_empty
+from .common import WORD, free_name, materialised, prefix_sums, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 
@@ -37,25 +37,17 @@ def key_of(seed: str) -> Column:
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3) -> DataFrame:
     """From (source, source_size), one row a source: source, source_size, target."""
-    ordinal = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (ordinal % len(weights) + 1).cast("int")).cast("long")
-    ranked = sizes.withColumn("weight", weight).withColumn("cap", F.col("source_size") * max_epochs)
-    everything = Window.partitionBy()
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    by_name = F.col("source").asc_nulls_last()
+    placed = prefix_sums(sizes.withColumn("one", F.lit(1).cast("long")), [by_name], {"ordinal": "one"})
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("ordinal") % len(weights) + 1).cast("int")).cast("long")
+    ranked = placed.withColumn("weight", weight).withColumn("cap", F.col("source_size") * max_epochs).withColumn("ratio", F.col("cap") / F.col("weight"))
+    ranked = prefix_sums(ranked, [F.col("ratio").asc(), by_name], {"capped": "cap", "passed": "weight"})
+    whole, all_weights = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
     # level: what a unit of weight would get if exactly the sources before this one were capped
-    levelled = (
-        ranked.withColumn("left", F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-        .withColumn("open", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-        .withColumn("level", F.col("left") / F.col("open"))
-    )
+    level = (F.lit(whole or 0).cast("long") - F.col("capped")) / (F.lit(all_weights or 1).cast("long") - F.col("passed"))
     # the first source whose cap is not below that level fixes it
-    fixed = F.min(F.when(F.col("cap") / F.col("weight") >= F.col("level"), F.struct(F.col("open") * -1, F.col("level")))).over(everything)["level"]
-    return (
-        levelled.withColumn("fixed", fixed)
-        .withColumn("target", F.least(F.col("cap").cast("double"), F.col("weight") * F.col("fixed")))
-        .select("source", "source_size", "target")
-    )
+    fixed = ranked.withColumn("level", level).where("ratio >= level").agg(F.min(F.struct("passed", "level"))["level"]).first()[0]
+    return ranked.select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("weight") * F.lit(fixed).cast("double")).alias("target"))
 
 
 def _digits(rows: int, per_cell: int) -> int:
@@ -79,7 +71,7 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     digits = _digits(rows.count(), per_cell)
     groups = rows.groupBy("source", "key").agg(F.sum("size").alias("group_size"), F.count("*").alias("cut_rows")).withColumn("cell", F.substring("key", 1, digits))
     cells = groups.groupBy("source", "cell").agg(F.sum("group_size").alias("cell_size"))
-    offsets = cells.withColumn("offset", F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell")) - F.col("cell_size"))
+    offsets = prefix_sums(cells, [F.col("cell").asc()], {"offset": "cell_size"}, ["source"])
     same_source = lambda a, b: a["source"].eqNullSafe(b["source"])
     # only the cell that holds the cut needs its rows in order
     cut_cells = (
