@@ -105,16 +105,17 @@ FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN c ON c.source IS NO
 
 
 def _licence_sql() -> str:
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
     rows = ", ".join(
-        f"('{name}', [{', '.join(repr(g) for g in grams)}], {low}, {high})"
+        f"('{name}', [{', '.join(map(quoted, grams))}], {low}, {high})"
         for name, grams in licences.flat_templates(licences.TEMPLATES)
         for low, high in [licences.bounds(len(grams), 0.8)]
     )
     return rf"""
 WITH t(name, grams, low, high) AS (VALUES {rows}),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
 s AS (
-  SELECT rowid AS r, unnest(list_distinct(list_concat(list_concat(string_split(x, chr(10)), regexp_split_to_array(x, '\n[\x20\x09\x0D]*\n')), [x]))) AS seg
-  FROM (SELECT row_number() OVER () AS rowid, coalesce(text, '') AS x FROM (SELECT * FROM documents ORDER BY doc_id))
+  SELECT r, unnest(list_distinct(list_concat(list_concat(string_split(x, chr(10)), regexp_split_to_array(x, '\n[\x20\x09\x0D]*\n')), [x]))) AS seg FROM d
 ), w AS (
   SELECT r, list_filter(regexp_split_to_array(lower(seg), '[^\p{{L}}\p{{N}}]+'), lambda v: v <> '') AS words FROM s
 ), g AS (
@@ -125,8 +126,7 @@ s AS (
 ), found AS (
   SELECT r, array_to_string(list_sort(list_distinct(list(name))), ',') AS licences, max(dice) AS best_dice, count(*) AS n_matches FROM m WHERE dice >= 0.8 GROUP BY r
 )
-SELECT d.doc_id, licences, best_dice, coalesce(n_matches, 0) AS n_matches
-FROM (SELECT row_number() OVER () AS r, doc_id FROM (SELECT * FROM documents ORDER BY doc_id)) d LEFT JOIN found USING (r)
+SELECT d.doc_id, licences, best_dice, coalesce(n_matches, 0) AS n_matches FROM d LEFT JOIN found USING (r)
 """
 
 

@@ -31,6 +31,13 @@ def awkward() -> list[tuple]:
         if i % 3 == 0:
             text += rnd.choice([" ", "\n", " z", " alpha"])
         rows.append((rnd.randrange(4, 60), text, rnd.choice(["en", None]), rnd.choice(["a", "b", "c", "é", None]), len(text)))
+    # licences whole, wrapped, cut, edited, repeated and among other text
+    for i, (_, texts) in enumerate(sorted(licences.TEMPLATES.items())):
+        for j, t in enumerate(texts):
+            cut = t.split()
+            del cut[:: 12 - j]
+            rows.append((100 + i, t, "en", "b", None))
+            rows.append((200 + i, rnd.choice([t.upper(), f"x y\n\n{t}\n \n{t}", " ".join(cut), t.replace(" ", "\n", 2), f"{base[j]}\n{t} {base[0][:20]}"]), None, "a", 1))
     rows += [(90, "long " * 20_000, "en", "a", 1), (91, "long " * 20_000, "en", "a", 1), (92, base[3], "en", "a", 1), (92, base[3], "en", "a", 1)]
     return rows
 
@@ -155,6 +162,41 @@ def test_decontamination_against_brute_force(spark):
         assert edit_distance_in(decontamination.words_of(text[r.span_start : r.span_end]), decontamination.words_of(dict(items)[r.item_id])) <= r.distance
 
 
+@pytest.mark.parametrize("n", [10, 30, 50, 100])
+def test_recall_by_item_size(n):
+    """Items edited at the full budget and planted in other text, each size on its own."""
+    rnd = random.Random(n)
+    vocabulary = [f"w{i}" for i in range(500)]
+    items = [(i, " ".join(rnd.choice(vocabulary) for _ in range(n))) for i in range(20)]
+    index = decontamination.Index(items, 0.8, 0.99)
+    budget, found, trials = decontamination.edit_budget(n, 0.8), 0, 200
+    for _ in range(trials):
+        i, text = rnd.choice(items)
+        words = text.split()
+        for _ in range(budget):
+            at, kind = rnd.randrange(len(words)), rnd.randrange(3)
+            words[at : at + (kind > 0)] = [rnd.choice(vocabulary)] * (kind < 2)
+        around = [[rnd.choice(vocabulary) for _ in range(rnd.randint(0, 60))] for _ in range(2)]
+        found += i in {hit[0] for hit in index.search(" ".join(around[0] + words + around[1]))}
+    assert found >= 0.99 * trials
+
+
+def test_sizes_that_miss_the_recall_are_verified_place_by_place():
+    items = [(1, " ".join(f"w{i}" for i in range(60)))]
+    index = decontamination.Index(items, 0.8, 1.0, most=32)
+    assert index.repetitions == {60: None}
+    words = items[0][1].split()
+    words[0:36:3] = ["x"] * 12
+    assert index.search(" ".join(["a"] * 7 + words))[0][3] == 12
+
+
+def test_benchmark_in_parts(docs, spark):
+    bench = spark.createDataFrame([(i, f"alpha Beta {w} long long long {i}") for i, w in enumerate(["the", "of", "x", "gamma"])] + [(9, "long long long")], "item_id long, text string")
+    whole = rows_of(decontamination.find_leaks(docs, bench))
+    assert whole and rows_of(decontamination.find_leaks(docs, bench.unionByName(bench), max_items=2)) == whole
+    assert rows_of(decontamination.keep_clean(docs, bench, max_items=2)) == rows_of(decontamination.keep_clean(docs, bench))
+
+
 def test_decontamination_keeps_clean_rows(docs, none, spark):
     bench = spark.createDataFrame([(1, "alpha Beta never seen before")], "item_id long, text string")
     assert decontamination.keep_clean(docs, bench).count() == len(ROWS)
@@ -193,6 +235,30 @@ def test_quality_edges(docs, none, spark):
     assert quality.keep_good(docs, labels.where("false"), 0.4).columns == docs.columns
 
 
+def test_vote_by_hand():
+    """Every cosine, one by one; all that tie with the last neighbour vote; blocks make no difference."""
+    rng = np.random.default_rng(3)
+    known = [" ".join(rng.choice(["Foo", "bar.", "12", "x-y", "zzz", "QQ"], 40)).encode() for _ in range(30)]
+    known += known[:12]  # ties
+    y = rng.integers(0, 2, len(known))
+    model = quality.Model(np.stack([quality.features(t) for t in known]), y, 8, 7)
+    asked = [*known[:20], b"", b"a", *[" ".join(rng.choice(["Foo", "bar.", "12", "other", ";;"], 25)).encode() for _ in range(40)]]
+    vector = lambda t: (quality.features(t) * model.idf).astype(float) @ model.basis
+    want = []
+    for t in asked:
+        v, near = vector(t), []
+        for k, label in zip(known, y, strict=True):
+            u = vector(k)
+            near.append((round(float(u @ v) / max(float(np.sqrt(u @ u) * np.sqrt(v @ v)), 1e-12), 9), int(label)))
+        last = sorted(near, reverse=True)[6][0]
+        voters = [(max(c, 0) ** 8, label) for c, label in near if c >= last]
+        weight = sum(w for w, _ in voters)
+        want.append(sum(w * label for w, label in voters) / weight if weight else float(y.mean()))
+    x = np.stack([quality.features(t) for t in asked])
+    for block in (512, 7, 1):
+        assert np.allclose(model.scores(x, block), want, atol=2e-6)
+
+
 def test_quality_ignores_held_out_labels(spark):
     docs, labels = tables(spark)
     from pyspark.sql import functions as F
@@ -236,6 +302,29 @@ def test_chain_learns_and_uses_earlier_categories(spark):
     assert chain.weights[1][-2] > 0  # the earlier category's log-odds count
 
 
+def test_chain_by_hand():
+    """Scores from the weights, word by word; the model of a category learns from what folds without the row say of earlier ones."""
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice(["idiot!", "hurt", "Fine", "day", "the", "é"]) for _ in range(rnd.randint(0, 9))).encode() for _ in range(300)]
+    marks = np.array([(b"idiot" in t, b"idiot" in t and b"hurt" in t) for t in texts], int)
+    chain = toxicity.fit_chain(texts, marks, ["rude", "threat"])
+    for t, p in zip(texts, chain.probabilities(texts), strict=True):
+        words = {w for w in re.split(r"[^A-Za-z0-9é]+", t.decode().lower()) if w}
+        z = []
+        for weights in chain.weights:
+            own = weights[: len(chain.vocabulary)]
+            z.append(sum(own[chain.vocabulary[w.encode()]] for w in words if w.encode() in chain.vocabulary) + sum(a * max(-10, min(10, b)) for a, b in zip(weights[len(chain.vocabulary) : -1], z, strict=True)) + weights[-1])
+        assert np.allclose(p, [1 / (1 + np.exp(-v)) for v in z])
+    x = toxicity.Rows([chain.numbers(t) for t in texts], len(chain.vocabulary))
+    none, fold = np.zeros((len(texts), 0)), np.arange(len(texts)) % 3
+    unseen = np.zeros(len(texts))
+    for f in range(3):
+        w = toxicity.fit_linear(x, none, marks[:, 0].astype(float), (fold != f).astype(float))
+        unseen[fold == f] = (x.times(w[:-1]) + w[-1])[fold == f]
+    second = toxicity.fit_linear(x, np.clip(unseen, -10, 10)[:, None], marks[:, 1].astype(float), np.ones(len(texts)))
+    assert np.allclose(second, chain.weights[1])
+
+
 def test_toxicity_edges(docs, none, spark):
     labels = spark.createDataFrame([(5, 1), (6, 0), (None, 1), (8, None)], "doc_id long, toxic int")
     assert toxicity.toxicity(docs, labels, ["toxic"]).count() == len(ROWS)
@@ -296,9 +385,8 @@ def test_against_sql(spark, tmp_path, name, which):
     got, want = queries.queries()[name](spark, place), c.sql(queries.oracle_sql()[name])
     pick = sorted(got.columns)
     assert pick == sorted(want.columns)
-    if name == "op6_licences" and which == "awkward":  # its SQL numbers rows by doc_id; nulls and repeats make that loose
-        assert Counter(r.licences for r in got.collect()) == Counter(r[1] for r in want.fetchall())
-        return
+    if name == "op6_licences" and which == "awkward":
+        assert got.where("licences IS NOT NULL").count() >= 40
     assert rows_of(got, *pick) == sorted((tuple(r) for r in want.select(*pick).fetchall()), key=repr)
 
 
@@ -389,6 +477,38 @@ def test_mix_is_near_its_targets(docs):
     assert rows_of(mixing.mix(docs.repartition(7))) == rows_of(mixing.mix(docs))
 
 
+def test_prefix_sums_over_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from siltstone.llm.common import prefix_sums
+
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["a", "b", None]), i, rnd.randrange(50)) for i in range(500)]
+    frame = spark.createDataFrame(rows, "g string, i long, n long")
+    got = {r.i: (r.before, r.place) for r in prefix_sums(frame.withColumn("one", F.lit(1).cast("long")), [F.col("i").asc()], {"before": "n", "place": "one"}, ["g"]).collect()}
+    assert got == {i: (sum(x[2] for x in rows if x[0] == g and x[1] < i), sum(x[0] == g and x[1] < i for x in rows)) for g, i, _ in rows}
+    assert {r.i: r.before for r in prefix_sums(frame, [F.col("i").asc()], {"before": "n"}).collect()} == {i: sum(x[2] for x in rows if x[1] < i) for _, i, _ in rows}
+
+
+def test_targets_of_many_sources(spark):
+    """Shares by weight, capped at three times the size, the excess shared again until none is above."""
+    rnd = random.Random(10)
+    sizes = {f"s{i:03d}": rnd.choice([0, 1, 7, 50, 400, 10_000]) for i in range(120)} | {None: 33}
+    names = sorted(k for k in sizes if k) + [None]
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, total = {}, float(sum(sizes.values()))
+    while True:
+        open_ = [s for s in names if s not in target]
+        unit = (total - sum(target.values())) / sum(weight[s] for s in open_)
+        over = [s for s in open_ if weight[s] * unit > 3 * sizes[s]]
+        if not over:
+            target |= {s: weight[s] * unit for s in open_}
+            break
+        target |= {s: 3.0 * sizes[s] for s in over}
+    got = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
+    assert all(abs(r.target - target[r.source]) < 1e-6 for r in got) and len(got) == len(sizes)
+
+
 def test_applied_mix(docs, none):
     got = mixing.apply_mix(docs)
     assert got.columns == docs.columns
