@@ -71,10 +71,10 @@ def brute_repeats(rows, length):
         b = (t or "").encode()
         for p in range(len(b) - length + 1):
             w = b[p : p + length]
-            first[w] = min(first.get(w, suffix_dedup.LAST), suffix_dedup.LAST if i is None else i)
+            first[w] = min(first.get(w, 1 << 63), 1 << 63 if i is None else i)
     out = []
     for i, t in rows:
-        b, k = (t or "").encode(), suffix_dedup.LAST if i is None else i
+        b, k = (t or "").encode(), 1 << 63 if i is None else i
         gone = bytearray(len(b))
         for p in range(len(b) - length + 1):
             if first[b[p : p + length]] < k:
@@ -92,6 +92,14 @@ def test_repeats(docs, monkeypatch, length, block, frequent):
     assert rows_of(suffix_dedup.remove_repeats(docs, length)) == brute_repeats([(r[0], r[1]) for r in ROWS], length)
 
 
+def test_repeats_of_ids_of_any_size(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, f"{k} {text} {k}") for k, i in enumerate([None, (1 << 63) - 1, (1 << 63) - 1, (1 << 63) - 2, None, -(1 << 63) + 2, 1 << 62])] + [((1 << 63) - 1, "q" * 70), (None, "q" * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(suffix_dedup.remove_repeats(docs)) == brute_repeats(rows, 50)
+    assert rows_of(suffix_dedup.remove_repeats(docs.where("doc_id IS NULL OR doc_id > 9223372036854775806"))) == brute_repeats([r for r in rows if r[0] is None or r[0] == (1 << 63) - 1], 50)
+
+
 def test_repeats_with_text(docs, none):
     rows = suffix_dedup.remove_repeats(docs, with_text=True).collect()
     assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 for r in rows)
