@@ -112,9 +112,12 @@ def scan_licences(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES,
     least, most = min(r[0] for r in ranges), max(r[1] for r in ranges)
     # words of a segment; bigrams as a set, and only for segments whose number of words any template could match
     anchors = anchor_words(flat, threshold)
-    holds = lambda c: functools.reduce(operator.or_, [F.contains(F.lower(c), F.lit(a)) for a in anchors])
-    held = F.when(holds(text_or_empty()), F.filter(_segments(text_or_empty()), holds)).otherwise(F.array().cast("array<string>"))
-    words = F.transform(held, lambda s: F.filter(F.split(F.lower(s), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    holds = lambda c: functools.reduce(operator.or_, [F.contains(c, F.lit(a)) for a in anchors])
+    # lower-cased once, in a projection of its own; segments that differ in case only have the same bigrams
+    lowered = docs.select("doc_id", F.lower(text_or_empty()).alias("low"))
+    low = F.col("low")
+    held = F.when(holds(low), F.filter(_segments(low), holds)).otherwise(F.array().cast("array<string>"))
+    words = F.transform(held, lambda s: F.filter(F.split(s, r"[^\p{L}\p{N}]+"), lambda w: w != ""))
     short = F.filter(words, lambda w: (F.size(w) > least))
     grams = F.transform(
         short,
@@ -129,7 +132,7 @@ def scan_licences(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES,
             each.append(F.when((F.size(g) >= low) & (F.size(g) <= high), F.struct(dice.alias("dice"), F.lit(name).alias("name"))))
         return F.filter(F.array(*each), lambda x: x.isNotNull() & (x["dice"] >= threshold))
 
-    found = docs.select(F.col("doc_id"), F.flatten(F.transform(fitting, scores)).alias("found"))
+    found = lowered.select(F.col("doc_id"), F.flatten(F.transform(fitting, scores)).alias("found"))
     names = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["name"])))
     return found.select(
         "doc_id",
