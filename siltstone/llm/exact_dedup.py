@@ -131,7 +131,8 @@ def exact_dedup(docs: DataFrame, capacity: int = 500, hash_of: Callable[[str], C
     hot, cold = (F.broadcast(index.where(F.col("group_size") > most)), index.where(F.col("group_size") <= most))
     own = directory.address(rows.select("doc_id", "h", "text_sha256", "rid", _rank().alias("own")))
     best = F.when(F.col("own") == F.col("rank"), F.col("rid"))
-    found = own.join(cold, key).withColumn("stays", F.min(best).over(Window.partitionBy(*key)))
+    # rows of hot groups leave before the shuffle that brings the others to their entries
+    found = own.join(F.broadcast(hot.select(*key)), key, "left_anti").join(cold, key).withColumn("stays", F.min(best).over(Window.partitionBy(*key)))
     met = own.join(hot, key)
     stays = met.groupBy(*key).agg(F.min(best).alias("stays"))  # at most HOT_GROUPS rows
     found = found.unionByName(met.join(F.broadcast(stays), key))
