@@ -1,7 +1,7 @@
 """Ordered first-match platform classifier.
 
-Signals are plain substrings in order of precedence. They are searched in Python, in Arrow batches: its substring search is several
-times faster than the JVM's over 198 needles a page, and it lower-cases and stops as the table's order asks.
+Signals are plain substrings in order of precedence. They are searched in Python, in Arrow batches: its substring search is faster
+than expressions over 198 needles a page, and it lower-cases and stops as the table's order asks.
 """
 
 from __future__ import annotations
