@@ -14,37 +14,63 @@ from __future__ import annotations
 import numpy as np
 
 
-def _ordered(key: np.ndarray, bits: int) -> np.ndarray:
-    """Stable order of keys of so many bits. With room left for the positions, plain sorting of both in one word is several
-    times faster than sorting positions by key."""
+def _ordered(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of keys of so many bits, and the keys in it. With room left for the positions, plain sorting of both in one word is
+    several times faster than sorting positions by key."""
     place = max(1, int(len(key) - 1).bit_length())
     if bits + place > 64:
-        return np.argsort(key, kind="stable")
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
     packed = np.sort(key << np.uint64(place) | np.arange(len(key), dtype=np.uint64))
-    return (packed & np.uint64((1 << place) - 1)).astype(np.int64)
-
-
-def _suffix_order(symbols: np.ndarray, end: np.ndarray, reach: int) -> np.ndarray:
-    """Suffix array by prefix doubling. symbols: byte + 1; end: where each position's text ends; reach: longest text."""
-    n = len(symbols)
-    padded = np.concatenate((symbols.astype(np.uint64), np.zeros(4, np.uint64)))
-    left = end - np.arange(n)
-    key = np.zeros(n, np.uint64)
-    for i in range(4):  # 9 bits a symbol
-        key = key << np.uint64(9) | np.where(left > i, padded[i : n + i], np.uint64(0))
-    span, bits, half = 4, 36, int(n).bit_length()
-    while True:
-        order = _ordered(key, bits)
-        ordered = key[order]
+    return (packed & np.uint64((1 << place) - 1)).astype(np.int64), packed >> np.uint64(place)
+
+
+class _Suffixes:
+    """Suffix array by prefix doubling, with what tells how much two suffixes share: ``first``, each position's first ``span`` symbols in a
+    word, and ``ranks``, (span, rank of each position by its first span symbols) of each round.
+
+    symbols: byte + 1; end: where each position's text ends; reach: longest text. The first sort takes as many symbols as fit in a word
+    beside the position, with as many bits a symbol as the symbols that occur need. Later rounds sort only what is still tied.
+    """
+
+    def __init__(self, symbols: np.ndarray, end: np.ndarray, reach: int):
+        n = len(symbols)
+        code = np.cumsum(np.bincount(symbols, minlength=258) > 0).astype(np.uint64)  # 0: past the end
+        self.width, half = int(code[-1]).bit_length(), np.uint64(int(n).bit_length())
+        room = min(64 - max(1, int(n - 1).bit_length()), 53)  # doubles hold 53 bits, see shared()
+        self.span = span = max(1, room // self.width)
+        left = end - np.arange(n)
+        padded = np.concatenate((code[symbols], np.zeros(span, np.uint64)))
+        key = np.zeros(n, np.uint64)
+        for i in range(span):
+            key <<= np.uint64(self.width)
+            key |= padded[i : n + i]
+        short = np.flatnonzero(left < span)  # the next text's symbols go
+        past = ((span - left[short]) * self.width).astype(np.uint64)
+        key[short] = key[short] >> past << past
+        self.first, self.ranks = key, []
+        order, ordered = _ordered(key, span * self.width)
         new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-        if span >= reach or new.all():
-            return order  # equal suffixes end with their texts and stay in text order, as their end symbols do
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(new).astype(np.uint64)
-        later = np.zeros(n, np.uint64)
-        later[: n - span] = np.where(left[: n - span] > span, rank[span:], np.uint64(0))
-        key, bits = rank << np.uint64(half) | later, 2 * half
-        span *= 2
+        rows, at, begins, rank = np.arange(n), order, new, np.empty(n, np.uint32)
+        while True:
+            # a position's rank is the row where its group begins
+            rank[at] = np.maximum.accumulate(np.where(begins, rows, 0))
+            self.ranks.append((span, rank))
+            rows = np.flatnonzero(~(new & np.concatenate((new[1:], [True]))))
+            if span >= reach or not len(rows):
+                break  # equal suffixes end with their texts and stay in text order, as their end symbols do
+            at = order[rows]
+            later = np.where(left[at] > span, rank[np.minimum(at + span, n - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+            again, ordered = _ordered(rank[at].astype(np.uint64) << half | later, 2 * int(half))
+            at = at[again]
+            begins = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+            order[rows], new[rows], rank, span = at, begins, rank.copy(), span * 2
+        self.order = order
+
+    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length that suffixes share in their first span symbols."""
+        differ = np.frexp((self.first[a] ^ self.first[b]).astype(np.float64))[1]  # bits from the first that differs on
+        return (self.span * self.width - differ) // self.width
 
 
 class RunIndex:
@@ -59,7 +85,8 @@ class RunIndex:
         symbols = data.astype(np.uint16) + 1
         end = np.repeat(self.text_end, size)
         starts = np.repeat(self.text_end - size, size)
-        order = _suffix_order(symbols, end, int(size.max()))
+        suffixes = _Suffixes(symbols, end, int(size.max()))
+        order = suffixes.order
         before = np.where(order > starts[order], symbols[order - 1], 0).astype(np.int64)
         # every text start has an end symbol of its own before it, so it is a run of its own
         heads = np.concatenate(([True], (before[1:] != before[:-1]) | (before[1:] == 0)))
@@ -72,12 +99,14 @@ class RunIndex:
         self.last = np.bincount(symbols[self.text_end[size > 0] - 1], minlength=258)
         # the neighbour's course changes just before each run head's position, and at each text's last byte
         previous = self.head - 1
-        self.at = np.unique(np.concatenate((previous[self.run_symbol > 0], self.text_end[size > 0] - 1)))
+        sampled = np.zeros(n, bool)
+        sampled[previous[self.run_symbol > 0]] = sampled[self.text_end[size > 0] - 1] = True
+        self.at = np.flatnonzero(sampled)
         rank = np.empty(n, np.int64)
         rank[order] = np.arange(n)
         row = rank[self.at]
         self.neighbour = np.where(row > 0, order[row - 1], -1)
-        self.match = _common(symbols, self.at, self.neighbour, end)
+        self.match = _common(suffixes, self.at, self.neighbour, end)
 
     @property
     def runs(self) -> int:
@@ -119,9 +148,12 @@ class RunIndex:
         if not len(long):
             return first
         # positions of the same bytes are neighbours of one another in a chain: follow each chain to its head
-        member = np.unique(np.concatenate((long, neighbour[long])))
+        chained = np.zeros(self.n, bool)
+        chained[long] = chained[neighbour[long]] = True
+        member = np.flatnonzero(chained)
+        place = np.cumsum(chained) - 1
         to = np.arange(len(member))
-        to[np.searchsorted(member, long)] = np.searchsorted(member, neighbour[long])
+        to[place[long]] = place[neighbour[long]]
         while True:
             further = to[to]
             if np.array_equal(further, to):
@@ -133,21 +165,22 @@ class RunIndex:
         return first
 
 
-def _common(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Length that the suffixes at a and b share within their texts (b -1: none). Seven symbols at a time, then one by one."""
-    n = len(symbols)
-    padded = np.concatenate((symbols.astype(np.uint64), np.zeros(7, np.uint64)))
-    seven = np.zeros(n, np.uint64)
-    for i in range(7):
-        seven = seven << np.uint64(9) | padded[i : n + i]
+def _common(suffixes: _Suffixes, a: np.ndarray, b: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Length that the suffixes at a and b share within their texts (b -1: none). Most differ in their first symbols; the others
+    are compared by the ranks from the widest on."""
     out = np.zeros(len(a), np.int64)
     live = np.flatnonzero(b >= 0)
-    limit = np.minimum(end[a[live]] - a[live], end[b[live]] - b[live])
-    for width, words in ((7, seven), (1, symbols)):
-        left = np.arange(len(live))
-        while len(left):
-            left = left[out[live[left]] + width <= limit[left]]
-            at = live[left]
-            left = left[words[a[at] + out[at]] == words[b[at] + out[at]]]
-            out[live[left]] += width
+    x, y = a[live], b[live]
+    limit = np.minimum(end[x] - x, end[y] - y)
+    share = np.minimum(suffixes.shared(x, y), limit)
+    left = np.flatnonzero((share == suffixes.span) & (share < limit))
+    for span, rank in reversed(suffixes.ranks):
+        same = left[rank[x[left] + share[left]] == rank[y[left] + share[left]]]
+        share[same] = np.minimum(share[same] + span, limit[same])
+        left = left[share[left] < limit[left]]
+    while len(left):
+        more = suffixes.shared(x[left] + share[left], y[left] + share[left])
+        share[left] = np.minimum(share[left] + more, limit[left])
+        left = left[(more == suffixes.span) & (share[left] < limit[left])]
+    out[live] = share
     return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -122,6 +123,25 @@ def test_run_index():
         assert ix.count(pattern) == sum(t[i:].startswith(pattern) for t in texts for i in range(len(t)))
 
 
+def test_matching_statistics():
+    """Neighbour and shared length of every suffix, in texts that share much, little, or end alike."""
+    rnd = random.Random(6)
+    for _ in range(300):
+        letters = rnd.choice([b"a", b"ab", bytes(range(97, 123)), bytes(range(256))])
+        texts = [bytes(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 2, 3, 7, 20, 130]))) for _ in range(rnd.randint(1, 9))]
+        texts += [t[rnd.randint(0, len(t)) :] * rnd.choice([1, 3]) for t in texts if rnd.random() < 0.5]
+        data = b"".join(texts)
+        end = [e for t, e in zip(texts, itertools.accumulate(map(len, texts)), strict=True) for _ in t]
+        neighbour, match = runindex.RunIndex(texts).statistics()
+        order = sorted(range(len(data)), key=lambda i: ([256 + c for c in data[i : end[i]]] + [end[i] - len(data)]))
+        for before, i in zip([-1, *order], order, strict=False):
+            assert neighbour[i] == before or match[i] == 0
+            same = 0
+            while before >= 0 and max(i - end[i], before - end[before]) + same < 0 and data[i + same] == data[before + same]:
+                same += 1
+            assert match[i] == same
+
+
 def test_run_index_compresses_repetition():
     rnd = random.Random(2)
     text = bytes(rnd.randrange(97, 123) for _ in range(400))
