@@ -28,21 +28,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialised_by, ship_package, text_or_empty
+from .common import materialised_by, ship_package, shuffle_partitions, text_or_empty
 from .runindex import RunIndex
 
 ANCHOR = 16
-BLOCK = 4_000_000
-#: Bytes whose windows are keyed at once, and bytes of text for each key range; both bound a task's memory.
-CHUNK = 1_000_000
+#: Bytes of text for each block, for each range of keys that are judged together and for each owner of pieces: they bound what a task holds at
+#: a time. Rows that carry keys number blocks times ranges, so the larger both are, the later a row carries few keys only.
+BLOCK = 8_000_000
+JUDGED = 32_000_000
 RANGE = 1_000_000
+#: Small inputs are cut into parts of this many bytes or more, so that all cores have one.
+SMALL = 1_000_000
+#: Bytes of text for each task, as long as that makes no more than so many tasks, for what a shuffle keeps grows with their square. A task takes
+#: its blocks or owners in turn, so what it holds does not depend on either.
+TASK, TASKS = 16_000_000, 20_000
+#: Bytes whose windows are keyed at once.
+CHUNK = 1_000_000
 #: Windows in a piece at most, so that suffixes are short to sort: with 50-byte windows 112 bytes, 7 * 2**4.
 PIECE = 63
 #: Pieces of a key from which on it counts as very frequent and its windows are dealt one by one, so that no owner gets them all. A rule of
-#: balance only: windows are found either way. Counts are carried up to 255 a block, so a key of that many in each of 79 blocks counts too.
+#: balance only: windows are found either way. Counts are carried up to 65,535 a block, which is more.
 FREQUENT = 20_000
 LAST = (1 << 63) - 1
 
@@ -176,7 +184,7 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(z, pa.binary())], ["doc_id", "h", "z"])
 
 
-def _send_keys(length: int, owners: int):
+def _send_keys(length: int, ranges: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         block = Block(table, length)
         keys, _, _, doc = block.runs()
@@ -185,10 +193,10 @@ def _send_keys(length: int, owners: int):
         edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
         times = np.diff(np.concatenate((edge, [len(keys)])))
         several = np.maximum.reduceat(doc, edge) != np.minimum.reduceat(doc, edge) if len(edge) else np.zeros(0, bool)
-        times = np.where(several, np.minimum(times, 255), 0).astype(np.uint8)
+        times = np.where(several, np.minimum(times, 65_535), 0).astype(np.uint16)
         keys = keys[edge]
         rows = [
-            (o, _pack(keys[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].copy(), times[a:b])) for o, a, b in _slices(_owner(keys, owners))
+            (o, _pack(keys[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].copy(), times[a:b])) for o, a, b in _slices(_owner(keys, ranges))
         ]
         return pa.table({"owner": pa.array([r[0] for r in rows], pa.int32()), "block": pa.array([key[0].as_py()] * len(rows), pa.int32()), "packed": pa.array([r[1] for r in rows], pa.binary())})
 
@@ -197,7 +205,7 @@ def _send_keys(length: int, owners: int):
 
 def _judge_keys(table: pa.Table) -> pa.Table:
     """For each key of each block: 0 if one document has it, 1 if several have, 2 if it is very frequent."""
-    parts = [_unpack(p.as_py(), "u1", "u1")[:2] for p in table.column("packed")]
+    parts = [_unpack(p.as_py(), "u1", "u2")[:2] for p in table.column("packed")]
     keys = [np.pad(k.reshape(-1, 5), ((0, 0), (0, 3))).view("<u8").ravel() for k, _ in parts]
     every, times = np.concatenate(keys), np.concatenate([t for _, t in parts]).astype(np.int64)
     _, which, blocks = np.unique(every, return_inverse=True, return_counts=True)
@@ -207,7 +215,7 @@ def _judge_keys(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block"), "owner": table.column("owner"), "verdicts": pa.array([_pack(v) for v in np.split(verdict, at)], pa.binary())})
 
 
-def _send_pieces(length: int, owners: int):
+def _send_pieces(length: int, ranges: int, owners: int):
     def run(key: tuple, table: pa.Table, verdicts: pa.Table) -> pa.Table:
         block = Block(table, length)
         keys, first, count, doc = block.runs()
@@ -216,7 +224,7 @@ def _send_pieces(length: int, owners: int):
             distinct, which = np.unique(keys, return_inverse=True)
             verdict = np.zeros(len(distinct), np.uint8)
             got = {o.as_py(): v.as_py() for o, v in zip(verdicts.column("owner"), verdicts.column("verdicts"), strict=True)}
-            for o, a, b in _slices(_owner(distinct, owners)):
+            for o, a, b in _slices(_owner(distinct, ranges)):
                 verdict[a:b] = _unpack(got[o], "u1")[0]
             level = verdict[which]
             chosen = np.flatnonzero(level)
@@ -339,20 +347,31 @@ def _cut_texts(length: int, with_text: bool):
     return run
 
 
+def _parts(spark: SparkSession, total: int, size: int) -> int:
+    """Parts of size bytes, or smaller ones of an input that would not keep all cores busy."""
+    return max(1, -(-total // size), min(-(-total // SMALL), 2 * spark.sparkContext.defaultParallelism))
+
+
 def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with with_text the bytes kept: a row for each row of docs."""
     if length < ANCHOR:
         raise ValueError(f"length must be at least {ANCHOR}")
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     total = ready.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks, owners = max(1, -(-total // BLOCK)), max(1, -(-total // RANGE))
+    blocks, ranges, owners = (_parts(spark, total, size) for size in (BLOCK, JUDGED, RANGE))
+    tasks = max(min(-(-total // TASK), TASKS), 2 * spark.sparkContext.defaultParallelism)
+
+    def owned(rows: DataFrame):
+        return (rows.repartition(tasks, "owner") if tasks > shuffle_partitions(spark) else rows).groupBy("owner")
+
     zipped = ready.withColumn("h", F.xxhash64("doc_id", "text")).mapInArrow(_compress, "doc_id long, h long, z binary")
     dealt = zipped.select("doc_id", "z", F.pmod("h", F.lit(blocks)).cast("int").alias("block"), F.monotonically_increasing_id().alias("rid"))
-    blocked = materialised_by(dealt, "block", blocks)
-    sent = blocked.groupBy("block").applyInArrow(_send_keys(length, owners), "owner int, block int, packed binary")
-    verdicts = sent.groupBy("owner").applyInArrow(_judge_keys, "block int, owner int, verdicts binary")
-    pieces = blocked.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(_send_pieces(length, owners), "owner int, block int, settled int, packed binary")
-    marks = pieces.groupBy("owner").applyInArrow(_mark(length), "block int, marks binary")
+    blocked = materialised_by(dealt, "block", min(blocks, tasks))
+    sent = blocked.groupBy("block").applyInArrow(_send_keys(length, ranges), "owner int, block int, packed binary")
+    verdicts = owned(sent).applyInArrow(_judge_keys, "block int, owner int, verdicts binary")
+    pieces = blocked.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(_send_pieces(length, ranges, owners), "owner int, block int, settled int, packed binary")
+    marks = owned(pieces).applyInArrow(_mark(length), "block int, marks binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return blocked.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_cut_texts(length, with_text), schema)

@@ -86,10 +86,10 @@ def brute_repeats(rows, length):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("length", "block", "frequent"), [(50, 4_000_000, 20_000), (50, 3_000, 20_000), (20, 5_000, 10)])
-def test_repeats(docs, monkeypatch, length, block, frequent):
-    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
-    monkeypatch.setattr(suffix_dedup, "FREQUENT", frequent)
+@pytest.mark.parametrize(("length", "block", "judged", "frequent", "task"), [(50, 8_000_000, 32_000_000, 20_000, 16_000_000), (50, 3_000, 9_000, 20_000, 500), (20, 5_000, 700, 10, 2_000)])
+def test_repeats(docs, monkeypatch, length, block, judged, frequent, task):
+    for name, value in (("BLOCK", block), ("JUDGED", judged), ("FREQUENT", frequent), ("TASK", task)):
+        monkeypatch.setattr(suffix_dedup, name, value)
     assert rows_of(suffix_dedup.remove_repeats(docs, length)) == brute_repeats([(r[0], r[1]) for r in ROWS], length)
 
 
