@@ -715,8 +715,9 @@ def test_pipeline_drops_near_duplicates(spark):
     assert kept == set({g: i for i, g in reversed(list(enumerate(groups)))}.values())
 
 
-def test_near_duplicates_over_many_tiles(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "TILE", 2)
+@pytest.mark.parametrize(("limit", "value"), [("TILE", 2), ("SHINGLES", 300)])
+def test_near_duplicates_over_many_tiles(spark, monkeypatch, limit, value):
+    monkeypatch.setattr(minhash, limit, value)
     texts = near_copies()
     groups = slow_groups(texts)
     docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
