@@ -24,6 +24,20 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialised_lean(df: DataFrame) -> DataFrame:
+    """As materialised(); what df's plan shuffled is deleted once df is written, not when the driver next collects garbage.
+
+    For steps that shuffle about as much as the input. Shuffles of other plans, df's later ones included, stay.
+    """
+    spark, switch = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(switch, "false")
+    spark.conf.set(switch, "true")
+    try:
+        return materialised(df.select("*"))  # a plan of its own: a plan takes the switch as it is when the plan is made
+    finally:
+        spark.conf.set(switch, before)
+
+
 def materialised_by(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """As materialised(), dealt by the key; later groupings by the key find the partitions in place and do not shuffle again.
 

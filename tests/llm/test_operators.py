@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -724,6 +725,28 @@ def test_near_duplicates_over_many_tiles(spark, monkeypatch, limit, value):
     assert [r.component for r in sorted(minhash.labelled(docs).collect())] == [min(j for j, h in enumerate(groups) if h == g) for g in groups]
 
 
+def test_near_duplicates_delete_what_written_steps_shuffled(spark, monkeypatch):
+    """Disk holds the shuffles of the step at work, not of all before it until the driver collects garbage."""
+    files = lambda: {str(b) for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()) if str(b).startswith("shuffle_")}
+    before, left = files(), [None]
+
+    def links(pairs, sets, least, run=minhash._links):
+        deadline = time.monotonic() + 5  # files go in the background
+        while (now := files() - before) and time.monotonic() < deadline:
+            time.sleep(0.1)
+        left[:] = now
+        return run(pairs, sets, least)
+
+    monkeypatch.setattr(minhash, "_links", links)
+    # the trie's own small steps keep theirs
+    monkeypatch.setattr(minhash, "_trie_pairs", lambda classes, budget: classes.sparkSession.createDataFrame([], "u long, v long, nu long, nv long"))
+    texts = near_copies()
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    groups = slow_groups(texts)
+    assert [r.component for r in sorted(minhash.labelled(docs).collect())] == [min(j for j, h in enumerate(groups) if h == g) for g in groups]
+    assert left == []
+
+
 def test_pipeline_keeps_what_is_less_similar(spark):
     """Repeated lines settle a fingerprint, whatever else a text says; links below the similarity must not join groups either."""
     rnd = random.Random(13)
